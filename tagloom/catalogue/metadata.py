@@ -10,7 +10,6 @@ from tagloom.functions.rules import source_rule_field
 from tagloom.operators.joins import skew_join
 from tagloom.operators.rules import (append_tags, append_tags_with_models, child_rules, children_of, exact_rules,
                                      range_rules, rules_of, tags_of_level, tags_with_models, upsert_paths)
-from tagloom.session import checkpointed
 
 
 @query("m1_parse_rule", f"""
@@ -86,10 +85,10 @@ def _(spark, sf):
     paths = skew_join(customers, nations, "c_nationkey", "n_nationkey")
     names = ["name1", "name2", "name3"]
     empty = spark.createDataFrame([], "id long, name string, rule string, level int, pid long")
-    known = checkpointed(upsert_paths(empty, paths.where("c_acctbal < 0").select(*names)))
-    tags = checkpointed(upsert_paths(known, paths.select(*names)))
+    known = upsert_paths(empty, paths.where("c_acctbal < 0").select(*names))
+    tags = upsert_paths(known, paths.select(*names))
     parents = tags.select(F.col("id").alias("parent_id"), F.col("name").alias("parent_name"))
-    return (tags.join(parents, F.col("pid") == F.col("parent_id"), "left")
+    return (skew_join(tags, parents, "pid", "parent_id", "left", ["id"])
             .groupBy("name", "level", F.coalesce("parent_name", F.lit("")).alias("parent_name"))
             .agg(F.count("*").alias("n")))
 

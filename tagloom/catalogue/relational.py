@@ -153,11 +153,14 @@ def _(spark, sf):
   SELECT o_custkey, l_orderkey, l_linenumber, p_type FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""")
 def _(spark, sf):
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    # The row position is taken at the scan, where a retried task finds the same order again.
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                F.monotonically_increasing_id().alias("row"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
-    typed = skew_join(items, parts, "l_partkey", "p_partkey")
-    return skew_join(typed, orders, "l_orderkey", "o_orderkey").select("o_custkey", "l_orderkey", "l_linenumber", "p_type")
+    typed = skew_join(items, parts, "l_partkey", "p_partkey", "inner", ["row"])
+    return skew_join(typed, orders, "l_orderkey", "o_orderkey", "inner", ["row"], items).select(
+        "o_custkey", "l_orderkey", "l_linenumber", "p_type")
 
 
 # New tags by segment, old tags by balance (none for customers with little money).
@@ -327,12 +330,13 @@ def _priorities(spark, sf):
 
 @query("w1_rank", _RANK_SQL)
 def _(spark, sf):
-    return rank_in_group(_priorities(spark, sf), "o_custkey", [F.desc("counts"), F.asc("o_orderpriority")], "o_orderpriority")
+    return rank_in_group(_priorities(spark, sf), "o_custkey", [F.desc("counts"), F.asc("o_orderpriority")], "o_orderpriority",
+                         values_from=table(spark, sf, "orders"))
 
 
 @query("w2_rank_sql", _RANK_SQL)
 def _(spark, sf):
-    return rank_in_group_sql(_priorities(spark, sf), "o_custkey", "counts", "o_orderpriority")
+    return rank_in_group_sql(_priorities(spark, sf), "o_custkey", "counts", "o_orderpriority", table(spark, sf, "orders"))
 
 
 @query("w3_top1", f"SELECT o_custkey, o_orderpriority, counts FROM ({_RANK_SQL}) WHERE rn = 1")

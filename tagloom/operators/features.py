@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
+from tagloom.session import checkpointed
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -21,7 +22,8 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """``(label, index)``: labels numbered from 0 by frequency descending, ties by label."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
+    counts = checkpointed(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label"))
+                          .agg(F.count("*").alias("n")))
     return number_rows(counts, [F.desc("n"), F.asc("label")], "rn").select(
         "label", (F.col("rn") - 1).cast("double").alias("index"))
 
@@ -66,20 +68,19 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """``(feature, statistic, dof)`` of the independence test of each categorical column against the label.
 
     All columns are counted in one pass; from then on only the counted
-    (feature, value, label) cells are handled, never the rows. Empty cells need
+    (feature, value, label) cells are handled. Empty cells need
     no row of their own: the statistic is n * (sum of o^2 / (r * c) - 1).
     """
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")) for f in features])
     counted = (df.select(F.explode(cells).alias("c"), F.col(label).cast("string").alias("label"))
                .groupBy("c.feature", "c.value", "label").agg(F.count("*").alias("o")))
     per_value = counted.groupBy("feature", "value").agg(F.sum("o").alias("r"))
-    per_label = counted.groupBy("feature", "label").agg(F.sum("o").alias("c"))
-    sizes = (per_value.groupBy("feature").agg(F.sum("r").alias("n"), F.count("*").alias("values"))
-             .join(per_label.groupBy("feature").agg(F.count("*").alias("labels")), "feature"))
-    part = (counted.join(per_value, ["feature", "value"]).join(per_label, ["feature", "label"])
-            .groupBy("feature").agg(F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c").cast("double")))
-                                    .alias("part")))
-    return part.join(sizes, "feature").select(
+    per_label = (counted.join(per_value, ["feature", "value"]).groupBy("feature", "label")
+                 .agg(F.sum(F.col("o") * F.col("o") / F.col("r")).alias("part"), F.sum("o").alias("c")))
+    sums = per_label.groupBy("feature").agg(F.sum(F.col("part") / F.col("c")).alias("part"), F.sum("c").alias("n"),
+                                            F.count("*").alias("labels"))
+    sizes = per_value.groupBy("feature").agg(F.count("*").alias("values"))
+    return sums.join(sizes, "feature").select(
         "feature", (F.col("n") * (F.col("part") - 1)).alias("statistic"),
         ((F.col("values") - 1) * (F.col("labels") - 1)).cast("long").alias("dof"))
 

@@ -50,19 +50,20 @@ def hot_keys(df: DataFrame, key: str) -> list[tuple[int, int]]:
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, right_key: str, how: str = "inner",
-              spread_by: Sequence[str] | None = None) -> DataFrame:
+              spread_by: Sequence[str] | None = None, keys_from: DataFrame | None = None) -> DataFrame:
     """Inner or left equi-join in which the rows of a hot left key are split over several tasks.
 
     Rows of a hot key get a salt below the key's task count and the matching
     right rows are repeated once per salt, so every pair still meets exactly
     once. ``spread_by`` names the columns that tell the rows of one key apart;
     without it the salt is the row position, which is stable only when ``left``
-    comes straight from a scan.
+    comes straight from a scan. ``keys_from`` is a cheaper frame to count the
+    keys in, when ``left`` was derived from it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     right = right.withColumnRenamed(right_key, "_right_key")
-    hot = hot_keys(left, key)
+    hot = hot_keys(left if keys_from is None else keys_from, key)
     if not hot:
         return left.join(right, F.col(key) == F.col("_right_key"), how).drop("_right_key")
     # At most HOT_KEYS rows, so always safe to broadcast.

@@ -63,16 +63,21 @@ def running_total(df: DataFrame, order_by: Sequence[str | Column], value: str, n
             .drop("_part", "_pos", "_before"))
 
 
+def _few_values(df: DataFrame, column: str) -> bool:
+    return df.select(column).distinct().count() <= ONE_TASK_ROWS
+
+
 def rank_in_group(df: DataFrame, group: str, order_by: Sequence[str | Column], distinct_by: str,
-                  name: str = "rn") -> DataFrame:
+                  name: str = "rn", values_from: DataFrame | None = None) -> DataFrame:
     """Number the rows of each group. ``(group, distinct_by)`` must be unique.
 
     A group is then no larger than the number of ``distinct_by`` values. While
     that is small a window per group is safe; otherwise the rows are numbered
-    as a whole and each group subtracts its first number.
+    as a whole and each group subtracts its first number. ``values_from`` is a
+    cheaper frame with the same ``distinct_by`` values, to count them in.
     """
     order = _names(df, order_by)
-    if df.select(distinct_by).distinct().count() <= ONE_TASK_ROWS:
+    if _few_values(df if values_from is None else values_from, distinct_by):
         return df.withColumn(name, F.row_number().over(W.partitionBy(group).orderBy(*order)).cast("long"))
     numbered = checkpointed(number_rows(df, [F.col(group), *order], "_all"))
     first = numbered.groupBy(group).agg(F.min("_all").alias("_first"))
@@ -81,10 +86,11 @@ def rank_in_group(df: DataFrame, group: str, order_by: Sequence[str | Column], d
             .withColumnRenamed("_group", group).select(*df.columns, name))
 
 
-def rank_in_group_sql(df: DataFrame, group: str, count: str, distinct_by: str) -> DataFrame:
+def rank_in_group_sql(df: DataFrame, group: str, count: str, distinct_by: str,
+                      values_from: DataFrame | None = None) -> DataFrame:
     """The ranking of ``rank_in_group`` written as SQL over a view."""
-    if df.select(distinct_by).distinct().count() > ONE_TASK_ROWS:
-        return rank_in_group(df, group, [F.desc(count), F.asc(distinct_by)], distinct_by)
+    if not _few_values(df if values_from is None else values_from, distinct_by):
+        return rank_in_group(df, group, [F.desc(count), F.asc(distinct_by)], distinct_by, values_from=values_from)
     return df.sparkSession.sql(
         f"""SELECT *, CAST(row_number() OVER (PARTITION BY {group}
                  ORDER BY {count} DESC, {distinct_by} ASC) AS BIGINT) AS rn

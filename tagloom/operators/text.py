@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.texts import tokens
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import shuffle_partitions
+from tagloom.session import checkpointed, shuffle_partitions
 
 
 def tokenize(df: DataFrame, text: str, output: str = "tokens") -> DataFrame:
@@ -22,17 +22,22 @@ def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
             .groupBy(doc, "term").agg(F.count("*").alias("tf")))
 
 
-def inverse_document_frequency(counts: DataFrame, n_docs: int) -> DataFrame:
-    """``(term, df, idf)`` with idf = ln((documents + 1) / (documents with the term + 1))."""
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return frequency.withColumn("idf", F.log((F.lit(float(n_docs)) + 1) / (F.col("df") + 1)))
+def inverse_document_frequency(df: DataFrame, text: str) -> DataFrame:
+    """``(term, df, idf)`` with idf = ln((documents + 1) / (documents with the term + 1)).
+
+    Each row is a document and hands out each of its terms once, so the only
+    shuffle carries partial counts per term.
+    """
+    terms = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    frequency = checkpointed(terms.groupBy("term").agg(F.count("*").alias("df")))
+    return frequency.withColumn("idf", F.log((F.lit(float(df.count())) + 1) / (F.col("df") + 1)))
 
 
 def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     """``(doc, term, tf, idf, tf_idf)`` for the exact terms of every text."""
-    counts = term_counts(df, doc, text)
-    idf = inverse_document_frequency(counts, df.count()).select("term", "idf")
-    joined = lookup_join(counts.withColumnRenamed("term", "_term"), idf, "_term", "term", "inner", [doc, "_term"])
+    counts = term_counts(df, doc, text).withColumnRenamed("term", "_term")
+    idf = inverse_document_frequency(df, text).select("term", "idf")
+    joined = lookup_join(counts, idf, "_term", "term", "inner", [doc, "_term"])
     return joined.select(doc, F.col("_term").alias("term"), "tf", "idf",
                          (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
@@ -44,19 +49,19 @@ def hashed_tf_idf(df: DataFrame, text: str, buckets: int = 1 << 18) -> DataFrame
     return IDF(inputCol="tf", outputCol="tf_idf").fit(tf).transform(tf)
 
 
-def vocabulary(counts: DataFrame) -> DataFrame:
+def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """``(term, term_index)`` by frequency in the whole corpus, ties by term."""
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("n"))
+    terms = df.select(F.explode(tokens(F.col(text))).alias("term"))
+    totals = checkpointed(terms.groupBy("term").agg(F.count("*").alias("n")))
     return number_rows(totals, [F.desc("n"), F.asc("term")], "rn").select(
         "term", (F.col("rn") - 1).alias("term_index"))
 
 
 def count_vectors(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """Count vectors in long form ``(doc, term_index, tf)`` over the full vocabulary."""
-    counts = term_counts(df, doc, text)
-    terms = vocabulary(counts)
-    return lookup_join(counts, terms.withColumnRenamed("term", "_t"), "term", "_t", "inner",
-                       [doc, "term"]).select(doc, "term", "term_index", "tf")
+    """Count vectors in long form ``(doc, term, term_index, tf)`` over the full vocabulary."""
+    terms = vocabulary(df, text).withColumnRenamed("term", "_t")
+    return lookup_join(term_counts(df, doc, text), terms, "term", "_t", "inner", [doc, "term"]).select(
+        doc, "term", "term_index", "tf")
 
 
 def count_vectorizer(df: DataFrame, tokens_column: str, output: str = "counts") -> DataFrame:

@@ -17,12 +17,10 @@ from tagloom.functions.scores import RFE_BINS, RFM_BINS, Bins, bin_score, price_
 from tagloom.functions.shopping import (COLOUR_CODES, FEMALE, FEMALE_COLOURS, FEMALE_TYPES, MALE, TYPE_CODES,
                                         dictionary_code, purchase_label, vote_rule)
 from tagloom.functions.texts import item_of_url
-from tagloom.operators.aggregates import (discount_totals, implicit_ratings, last_event, rfe, rfm, usage_counts,
-                                          votes)
+from tagloom.operators.aggregates import discount_totals, implicit_ratings, last_event, rfe, rfm, usage_counts
 from tagloom.operators.classify import class_labels, hash_split, tree_pipeline
 from tagloom.operators.cluster import (Centres, assign, centres_of, clusters_to_tags, elbow, fit_kmeans, rank_tags,
                                        select_k)
-from tagloom.operators.joins import skew_join
 from tagloom.operators.match import match_exact, match_range
 from tagloom.operators.ordering import top_n_per_group
 from tagloom.operators.recommend import fit_als, items_as_csv, numeric_ids, top_items
@@ -113,6 +111,8 @@ def cluster_tag(features: DataFrame, columns: Sequence[str], rules: DataFrame, c
     users = features.dropna(subset=list(columns))
     if centres is None:
         k = rules.count()
+        # Read by the fit and by the assignment; far smaller than the source it sums up.
+        users = checkpointed(users)
 
         def fit():
             return fit_kmeans(users, columns, k, seed, max_iter)
@@ -155,34 +155,35 @@ def psm_cluster_count(orders: DataFrame, ks: Sequence[int] = range(2, 10), seed:
 def purchases(goods: DataFrame, orders: DataFrame, colours: Mapping[str, int] = COLOUR_CODES,
               types: Mapping[str, int] = TYPE_CODES, female_colours: Sequence[str] = FEMALE_COLOURS,
               female_types: Sequence[str] = FEMALE_TYPES) -> DataFrame:
-    """Bought goods of each user as codes with the rule label, one row per order item."""
-    items = skew_join(goods.select("cOrderSn", "ogColor", "productType"), orders.select("orderSn", "memberId"),
-                      "cOrderSn", "orderSn")
-    return items.select(
-        F.col("memberId").alias("userId"), "cOrderSn",
-        dictionary_code(F.col("ogColor"), colours).alias("color"),
+    """``(userId, cOrderSn, color, productType, gender, n)``: bought goods as codes with the rule label.
+
+    The items are counted per order before they meet the orders, so an order
+    brings at most as many rows to the join as there are code pairs.
+    """
+    counted = goods.groupBy(
+        "cOrderSn", dictionary_code(F.col("ogColor"), colours).alias("color"),
         dictionary_code(F.col("productType"), types).alias("productType"),
-        purchase_label(F.col("ogColor"), F.col("productType"), female_colours, female_types).alias("gender"))
+        purchase_label(F.col("ogColor"), F.col("productType"), female_colours, female_types).alias("gender"),
+    ).agg(F.count("*").alias("n"))
+    users = orders.select("orderSn", F.col("memberId").alias("userId"))
+    return counted.join(users, F.col("cOrderSn") == F.col("orderSn")).drop("orderSn")
 
 
 def vote_tag(predicted: DataFrame, rules: DataFrame, prediction: str) -> DataFrame:
-    """Tag of the gender most of a user's purchases are predicted as. ``predicted`` has ``userId`` and ``n`` rows each."""
+    """Tag of the gender that most of a user's ``n`` purchases are predicted as."""
+    def total(condition):
+        return F.sum(F.when(condition, F.col("n")).otherwise(0)).cast("double")
+
     counted = predicted.groupBy("userId").agg(
-        F.sum(F.when(F.col(prediction) == MALE, F.col("n")).otherwise(0)).cast("double").alias("male"),
-        F.sum(F.when(F.col(prediction) == FEMALE, F.col("n")).otherwise(0)).cast("double").alias("female"),
+        total(F.col(prediction) == MALE).alias("male"), total(F.col(prediction) == FEMALE).alias("female"),
         F.sum("n").cast("double").alias("total"))
-    return voted_tag(counted, rules)
-
-
-def voted_tag(counted: DataFrame, rules: DataFrame) -> DataFrame:
-    """Tag of ``(userId, male, female, total)`` votes."""
     outcome = counted.withColumn("_rule", vote_rule(F.col("male"), F.col("female"), F.col("total")))
     return _tagged(match_exact(outcome.select("userId", "_rule"), "_rule", rules, spread_by=["userId"]), "userId")
 
 
 def label_tag(bought: DataFrame, rules: DataFrame) -> DataFrame:
     """Shopping gender with the rule label taken as the prediction."""
-    return voted_tag(votes(bought, "userId", F.col("gender") == MALE, F.col("gender") == FEMALE), rules)
+    return vote_tag(bought, rules, "gender")
 
 
 def train_purchase_tree(bought: DataFrame, train_share: float = 0.8, seed: int = 100, trees: int = 1
@@ -195,9 +196,9 @@ def train_purchase_tree(bought: DataFrame, train_share: float = 0.8, seed: int =
     """
     split = hash_split(bought, ["cOrderSn", "color", "productType"], train_share, seed)
     per_user = checkpointed(split.groupBy("userId", "color", "productType", "gender", "part")
-                            .agg(F.count("*").alias("n")))
-    cases = per_user.groupBy("color", "productType", "gender", "part").agg(
-        F.sum("n").cast("double").alias("weight"))
+                            .agg(F.sum("n").alias("n")))
+    cases = checkpointed(per_user.groupBy("color", "productType", "gender", "part")
+                         .agg(F.sum("n").cast("double").alias("weight")))
     labels = class_labels(cases, "gender")
     model = tree_pipeline(["color", "productType"], "gender", labels, trees, seed=seed).fit(
         cases.where(F.col("part") == "train"))

@@ -31,15 +31,11 @@ class ProfileStore:
     def _snapshot(self, version: int) -> str:
         return f"{self.root}/snapshot-{version:06d}"
 
-    def _complete(self, version: int) -> bool:
-        return path_exists(self.spark, f"{self._snapshot(version)}/_SUCCESS")
-
     def version(self) -> int:
         """Number of the newest complete snapshot, 0 when there is none."""
-        version = 0
-        while self._complete(version + 1):
-            version += 1
-        return version
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/snapshot-*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return max((int(f.getPath().getParent().getName().rsplit("-", 1)[1]) for f in found or []), default=0)
 
     def read(self) -> DataFrame:
         version = self.version()
