@@ -10,6 +10,8 @@ from tagloom.functions.rules import source_rule_field
 from tagloom.operators.joins import skew_join
 from tagloom.operators.rules import (append_tags, append_tags_with_models, child_rules, children_of, exact_rules,
                                      range_rules, rules_of, tags_of_level, tags_with_models, upsert_paths)
+from tagloom.session import local_frame
+from tagloom.sources.readers import TAG_SCHEMA
 
 
 @query("m1_parse_rule", f"""
@@ -84,7 +86,7 @@ def _(spark, sf):
     customers = table(spark, sf, "customer").select("c_nationkey", "c_acctbal", F.col("c_mktsegment").alias("name3"))
     paths = skew_join(customers, nations, "c_nationkey", "n_nationkey")
     names = ["name1", "name2", "name3"]
-    empty = spark.createDataFrame([], "id long, name string, rule string, level int, pid long")
+    empty = local_frame(spark, [], TAG_SCHEMA)
     known = upsert_paths(empty, paths.where("c_acctbal < 0").select(*names))
     tags = upsert_paths(known, paths.select(*names))
     parents = tags.select(F.col("id").alias("parent_id"), F.col("name").alias("parent_name"))

@@ -12,6 +12,7 @@ from tagloom.catalogue.scalars import RFM_SQL, SCALED_RFM, scores_sql
 from tagloom.catalogue.tables import (BRAND_CODES, FEMALE_PART_TYPES, LOGS_SQL, ORDERS_AS_OF, PART_TYPE_CODES,
                                       goods_source, log_source, order_source)
 from tagloom.operators import classify, cluster, recommend
+from tagloom.session import local_frame
 from tagloom.plans.tags import (bp_ratings, purchases, rfm_features, score, train_purchase_tree)
 
 FEATURES = ["recency", "frequency", "monetary"]
@@ -41,7 +42,7 @@ def _(spark, sf):
   SELECT CAST(count(*) AS BIGINT) AS n_users, 4::BIGINT AS clusters, true AS better_than_one FROM {SCORES_SQL} s""")
 def _(spark, sf):
     users = scores(spark, sf)
-    centres = cluster.centres_of(cluster.fit_kmeans(users, FEATURES, 4))
+    centres = cluster.fit_kmeans(users, FEATURES, 4)
     mean = users.agg(*[F.avg(c) for c in FEATURES]).first()
     placed = cluster.assign(users, FEATURES, centres).withColumn("_one", cluster.squared_distances(FEATURES, [mean])[0])
     return placed.agg(F.count("cluster").alias("n_users"), F.count_distinct("cluster").alias("clusters"),
@@ -76,7 +77,7 @@ def _(spark, sf):
     means = (scores(spark, sf).join(segments, "userId").groupBy("c_mktsegment")
              .agg(*[F.avg(c).alias(c) for c in FEATURES]).orderBy("c_mktsegment").collect())
     ranked = cluster.rank_tags(segments, [[row[c] for c in FEATURES] for row in means], rules_frame(spark, _SEGMENT_TAGS))
-    names = spark.createDataFrame([(i, row["c_mktsegment"]) for i, row in enumerate(means)], "cluster int, c_mktsegment string")
+    names = local_frame(spark, [(i, row["c_mktsegment"]) for i, row in enumerate(means)], "cluster int, c_mktsegment string")
     return ranked.join(names, "cluster").select("c_mktsegment", F.round("centre_sum", 6).alias("centre_sum"), "rank", "tagsId")
 
 

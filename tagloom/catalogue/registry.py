@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.session import local_frame
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -41,7 +43,7 @@ def values_sql(rows: Sequence[tuple], alias: str) -> str:
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[tuple[int, str]]) -> DataFrame:
-    return spark.createDataFrame(list(rules), "id long, rule string")
+    return local_frame(spark, rules, "id long, rule string")
 
 
 def bins_sql(column: str, bins) -> str:

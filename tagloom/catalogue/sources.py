@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from tagloom.catalogue.registry import query, rules_frame, table, values_sql
 from tagloom.catalogue.tables import TAGS_SQL, order_source, tag_table
 from tagloom.catalogue.tags import PAYMENT_RULES
-from tagloom.operators.cluster import assign, centres_of, fit_kmeans
+from tagloom.operators.cluster import assign, fit_kmeans
 from tagloom.operators.rules import source_spec
 from tagloom.plans.tags import payment_tag
-from tagloom.session import scratch_path
-from tagloom.sources.readers import (FIELD_SEPARATOR, read_csv, read_delimited, read_fields, read_homes, read_libsvm,
+from tagloom.session import local_frame, scratch_path
+from tagloom.sources.readers import (FIELD_SEPARATOR, TAG_SCHEMA, read_csv, read_delimited, read_fields, read_homes, read_libsvm,
                                      read_ratings, read_tags)
-from tagloom.sources.stores import ProfileStore, stored_kmeans
+from tagloom.sources.stores import ProfileStore, stored_centres
 
 SOURCE_RULE = "inType=Parquet##hbaseTable=customer##family=detail##selectFields=c_custkey,c_mktsegment"
 
 
 @query("s1_read_fields", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer")
 def _(spark, sf):
-    tags = spark.createDataFrame([(4, "segment", SOURCE_RULE, 4, 3)], "id long, name string, rule string, level int, pid long")
+    tags = local_frame(spark, [(4, "segment", SOURCE_RULE, 4, 3)], TAG_SCHEMA)
     spec = source_spec(tags, 4)
     return read_fields(spark, f"{sf}/{spec.table}.parquet", spec.fields)
 
@@ -122,13 +122,11 @@ def _(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_quantity", "l_discount")
     columns = ["l_quantity", "l_discount"]
     path = scratch_path(spark, "model")
-    first = stored_kmeans(spark, path, 4, columns, lambda: fit_kmeans(rows, columns, 4))
+    first = stored_centres(spark, path, 4, columns, lambda: fit_kmeans(rows, columns, 4))
 
     def never():
         raise AssertionError("a stored model must be loaded")
 
-    again = stored_kmeans(spark, path, 4, columns, never)
-    same = sorted(centres_of(first)) == sorted(centres_of(again))
-    placed = assign(rows, columns, centres_of(again))
-    return placed.agg(F.count("cluster").alias("n_rows")).withColumn("same_centres", F.lit(same)).withColumn(
-        "k", F.lit(len(again.clusterCenters())))
+    again = stored_centres(spark, path, 4, columns, never)
+    return assign(rows, columns, again).agg(F.count("cluster").alias("n_rows")).withColumn(
+        "same_centres", F.lit(first == again)).withColumn("k", F.lit(len(again)))

@@ -8,11 +8,12 @@ from tagloom.catalogue.registry import distances_sql, query, rules_frame, table,
 from tagloom.catalogue.scalars import PSM_SQL, RFE_SQL, RFM_SQL, SCALED_RFE, SCALED_RFM, label_sql, scores_sql
 from tagloom.catalogue.tables import (BRAND_CODES, EVENTS_AS_OF, FEMALE_BRANDS, FEMALE_PART_TYPES, LOGS_SQL, ORDERS_AS_OF,
                                       PART_TYPE_CODES, coupon_source, goods_source, log_source, order_source)
-from tagloom.operators.profile import collect_tags, drop_tags, merge_all_users
+from tagloom.functions.dates import timestamp_to_epoch
+from tagloom.operators.profile import drop_tags, merge_all_users
 from tagloom.plans import tags as jobs
-from tagloom.plans.template import TagJob, run_job
-from tagloom.session import scratch_path
-from tagloom.sources.readers import read_fields
+from tagloom.plans.template import TagJob, parquet_source, run_job
+from tagloom.session import local_frame, scratch_path
+from tagloom.sources.readers import TAG_SCHEMA
 from tagloom.sources.stores import ProfileStore
 
 GENDER_RULES = [(5, "AUTOMOBILE"), (6, "BUILDING"), (7, "FURNITURE"), (8, "HOUSEHOLD"), (9, "MACHINERY")]
@@ -223,7 +224,8 @@ _PAYMENT_131_SQL = PAYMENT_SQL.replace("coalesce(r.id, 35)", "100 + coalesce(r.i
 
 
 def _cycle(source, rules):
-    orders = source.select(F.col("o_custkey").alias("memberId"), F.unix_timestamp("o_orderdate").alias("finishTime"))
+    time = timestamp_to_epoch(F.col("o_orderdate").cast("timestamp_ntz"))
+    orders = source.select(F.col("o_custkey").alias("memberId"), time.alias("finishTime"))
     return jobs.cycle_tag(orders, rules, ORDERS_AS_OF)
 
 
@@ -233,15 +235,10 @@ def _payment(source, rules):
 
 @query("t13_job", union_tags_sql(CYCLE_SQL, _PAYMENT_131_SQL))
 def _(spark, sf):
-    tags = spark.createDataFrame(ORDER_TAGS, "id long, name string, rule string, level int, pid long")
+    tags = local_frame(spark, ORDER_TAGS, TAG_SCHEMA)
     store = ProfileStore(spark, scratch_path(spark, "profile"))
 
-    def read(spec):
-        source = read_fields(spark, f"{sf}/{spec.table}.parquet", spec.fields)
-        if "o_orderdate" in spec.fields:
-            return source.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-        return source
-
+    read = parquet_source(spark, sf)
     run_job(TagJob(23, _cycle), tags, read, store)
     # The second run of a job finds its own tags and changes nothing.
     run_job(TagJob(23, _cycle), tags, read, store, replace_siblings=True)
@@ -257,7 +254,7 @@ def profile(spark, sf):
     segment = jobs.exact_tag(table(spark, sf, "customer"), rules_frame(spark, GENDER_RULES), "c_mktsegment", "c_custkey")
     cycle = jobs.cycle_tag(orders, rules_frame(spark, CYCLE_RULES), ORDERS_AS_OF)
     payment = jobs.payment_tag(orders, rules_frame(spark, PAYMENT_RULES))
-    return merge_all_users(segment, collect_tags(cycle.unionByName(payment)))
+    return merge_all_users(segment, cycle.unionByName(payment))
 
 
 @query("t14_replace_siblings", f"""

@@ -17,7 +17,7 @@ def compact_date(day: Column) -> Column:
 
 def epoch_to_timestamp(seconds: Column) -> Column:
     """Epoch seconds to a UTC timestamp without zone."""
-    return F.timestamp_add("SECOND", seconds, F.expr(EPOCH))
+    return F.expr(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def epoch_to_text(seconds: Column) -> Column:
@@ -26,7 +26,9 @@ def epoch_to_text(seconds: Column) -> Column:
 
 
 def timestamp_to_epoch(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(EPOCH), ts)
+    """Epoch seconds of a UTC timestamp without zone."""
+    days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def reference_day(as_of: str | dt.date, shift_days: int = 0) -> Column:

@@ -11,7 +11,7 @@ from tagloom.functions.dates import days_since
 from tagloom.functions.scores import discount_columns
 from tagloom.operators.joins import skew_join
 from tagloom.operators.ordering import running_total
-from tagloom.session import checkpointed
+from tagloom.session import materialised
 
 
 def last_event(df: DataFrame, user: str, time: str) -> DataFrame:
@@ -82,7 +82,7 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def mid_ranks(df: DataFrame, value: str, weight: str) -> DataFrame:
     """Average rank of every distinct value, where ``weight`` counts its rows."""
-    values = checkpointed(df.groupBy(value).agg(F.sum(weight).alias("_count")))
+    values = materialised(df.groupBy(value).agg(F.sum(weight).alias("_count")))
     ranked = running_total(values, [value], "_count", "_upto")
     return ranked.select(value, (F.col("_upto") - (F.col("_count") - 1) / 2).alias("rank"))
 
@@ -93,7 +93,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     Rows are reduced to counted value pairs first, so a value that fills much
     of the table is a single row when the ranks are built.
     """
-    pairs = checkpointed(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = materialised(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
                          .groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("w")))
     ranked = skew_join(pairs, mid_ranks(pairs, "x", "w").select(F.col("x").alias("vx"), F.col("rank").alias("rx")),
                        "x", "vx", "inner", ["x", "y"])

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.operators.features import assemble
 from tagloom.operators.match import rank_zip
+from tagloom.session import local_frame
 
 Centres = Sequence[Sequence[float]]
 
@@ -24,18 +25,20 @@ def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(features)).groupBy(*features).agg(F.count("*").cast("double").alias("weight"))
 
 
-def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 200, max_iter: int = 20) -> KMeansModel:
-    points = assemble(weighted_points(df, features), features)
-    return _kmeans(k, seed, max_iter).fit(points)
+def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 200, max_iter: int = 20) -> Centres:
+    """Centres of ``k`` clusters; fewer when the users stand at fewer distinct points."""
+    return _fit(assemble(weighted_points(df, features), features), features, k, seed, max_iter)[0]
 
 
-def _kmeans(k: int, seed: int, max_iter: int) -> KMeans:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, weightCol="weight", featuresCol="features",
-                  predictionCol="cluster")
-
-
-def centres_of(model: KMeansModel) -> list[list[float]]:
-    return [[float(x) for x in centre] for centre in model.clusterCenters()]
+def _fit(points: DataFrame, features: Sequence[str], k: int, seed: int, max_iter: int) -> tuple[Centres, float]:
+    """Centres and sum of squared errors."""
+    few = points.select(*features).take(k + 1)
+    if len(few) <= k:
+        # Every distinct point is its own cluster.
+        return sorted([float(x) for x in point] for point in few), 0.0
+    # With the default two steps the start may find fewer than k centres, which the fit cannot take.
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, initSteps=5, weightCol="weight").fit(points)
+    return [[float(x) for x in centre] for centre in model.clusterCenters()], float(model.summary.trainingCost)
 
 
 def squared_distances(features: Sequence[str], centres: Centres) -> Column:
@@ -67,11 +70,11 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int =
     try:
         rows = []
         for k in ks:
-            model = _kmeans(k, seed, max_iter).fit(points)
-            rows.append((k, len(model.clusterCenters()), float(model.summary.trainingCost)))
+            centres, sse = _fit(points, features, k, seed, max_iter)
+            rows.append((k, len(centres), sse))
     finally:
         points.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, clusters int, sse double")
+    return local_frame(df.sparkSession, rows, "k int, clusters int, sse double")
 
 
 def select_k(table: DataFrame) -> int:
@@ -88,8 +91,8 @@ def rank_tags(df: DataFrame, centres: Centres, rules: DataFrame, numeric_rank: b
     """``(cluster, centre_sum, rank, tagsId)``: the cluster with the highest centre sum gets the first rule."""
     if rules.count() < len(centres):
         raise ValueError(f"{len(centres)} clusters need as many rules")
-    sums = df.sparkSession.createDataFrame([(i, float(sum(c))) for i, c in enumerate(centres)],
-                                           "cluster int, centre_sum double")
+    sums = local_frame(df.sparkSession, [(i, float(sum(c))) for i, c in enumerate(centres)],
+                       "cluster int, centre_sum double")
     return rank_zip(sums, "cluster", "centre_sum", rules, numeric_rank)
 
 

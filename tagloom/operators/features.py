@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import checkpointed
+from tagloom.session import materialised
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -22,7 +22,7 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """``(label, index)``: labels numbered from 0 by frequency descending, ties by label."""
-    counts = checkpointed(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label"))
+    counts = materialised(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label"))
                           .agg(F.count("*").alias("n")))
     return number_rows(counts, [F.desc("n"), F.asc("label")], "rn").select(
         "label", (F.col("rn") - 1).cast("double").alias("index"))

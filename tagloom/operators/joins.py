@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.session import shuffle_partitions
+from tagloom.session import local_frame, shuffle_partitions
 
 # A side is broadcast only below both bounds, measured before the join.
 BROADCAST_ROWS = 200_000
@@ -67,7 +67,7 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, right_key: str, how:
     if not hot:
         return left.join(right, F.col(key) == F.col("_right_key"), how).drop("_right_key")
     # At most HOT_KEYS rows, so always safe to broadcast.
-    plan = F.broadcast(left.sparkSession.createDataFrame(hot, "_h long, _tasks int"))
+    plan = F.broadcast(local_frame(left.sparkSession, hot, "_h long, _tasks int"))
     position = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
     left = (left.withColumn("_pos", position)
             .join(plan, F.xxhash64(key) == F.col("_h"), "left")

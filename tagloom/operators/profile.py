@@ -20,18 +20,17 @@ def collect_tags(tagged: DataFrame) -> DataFrame:
 
 def merge_new_users(new: DataFrame, old: DataFrame) -> DataFrame:
     """Users of ``new`` only, with their old tags added."""
-    return _joined(new, old, "left")
+    left = collect_tags(new).withColumnRenamed("tagsId", "_new")
+    right = collect_tags(old).withColumnRenamed("tagsId", "_old")
+    return left.join(right, "userId", "left").select("userId", tag_set(F.col("_new"), F.col("_old")).alias("tagsId"))
 
 
 def merge_all_users(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Users of either side with the union of their tags: what an upsert of the new rows leaves in the table."""
-    return _joined(new, old, "full")
-
+    """Users of either side with the union of their tags: what an upsert of the new rows leaves in the table.
 
-def _joined(new: DataFrame, old: DataFrame, how: str) -> DataFrame:
-    left = collect_tags(new).withColumnRenamed("tagsId", "_new")
-    right = collect_tags(old).withColumnRenamed("tagsId", "_old")
-    return left.join(right, "userId", how).select("userId", tag_set(F.col("_new"), F.col("_old")).alias("tagsId"))
+    The sides are stacked and grouped, so both are combined before one shuffle and nothing is sorted.
+    """
+    return collect_tags(new.select("userId", "tagsId").unionByName(old.select("userId", "tagsId")))
 
 
 def merge_new_users_sql(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.rules import source_rule_map
 from tagloom.operators.joins import lookup_join, skew_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import checkpointed
+from tagloom.session import materialised
 
 ROOT_PID = -1
 
@@ -112,14 +112,14 @@ def upsert_paths(tags: DataFrame, paths: DataFrame) -> DataFrame:
     Level by level: a tag exists when its name is known under the resolved
     parent; the others get new ids. The root level hangs under ``ROOT_PID``.
     """
-    resolved = checkpointed(paths.distinct()).withColumn("pid", F.lit(ROOT_PID).cast("long"))
+    resolved = materialised(paths.distinct()).withColumn("pid", F.lit(ROOT_PID).cast("long"))
     for level in (1, 2, 3):
         name = f"name{level}"
         wanted = resolved.select(F.col(name).alias("name"), "pid").distinct()
         known = tags_of_level(tags, level).select("name", "pid")
         fresh = (wanted.join(known, ["name", "pid"], "left_anti")
                  .withColumn("level", F.lit(level)).withColumn("rule", F.lit(None).cast("string")))
-        tags = checkpointed(append_tags(tags, fresh, ["pid", "name"])[0])
+        tags = materialised(append_tags(tags, fresh, ["pid", "name"])[0])
         if level < 3:
             ids = (tags_of_level(tags, level).groupBy("name", "pid").agg(F.min("id").alias("_id"))
                    .select(F.struct("pid", "name").alias("_key"), "_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.texts import tokens
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import checkpointed, shuffle_partitions
+from tagloom.session import materialised, shuffle_partitions, spread
 
 
 def tokenize(df: DataFrame, text: str, output: str = "tokens") -> DataFrame:
@@ -18,7 +18,7 @@ def tokenize(df: DataFrame, text: str, output: str = "tokens") -> DataFrame:
 
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     """``(doc, term, tf)`` for the exact terms of every text."""
-    return (df.select(doc, F.explode(tokens(F.col(text))).alias("term"))
+    return (spread(df).select(doc, F.explode(tokens(F.col(text))).alias("term"))
             .groupBy(doc, "term").agg(F.count("*").alias("tf")))
 
 
@@ -28,8 +28,8 @@ def inverse_document_frequency(df: DataFrame, text: str) -> DataFrame:
     Each row is a document and hands out each of its terms once, so the only
     shuffle carries partial counts per term.
     """
-    terms = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    frequency = checkpointed(terms.groupBy("term").agg(F.count("*").alias("df")))
+    terms = spread(df).select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    frequency = materialised(terms.groupBy("term").agg(F.count("*").alias("df")))
     return frequency.withColumn("idf", F.log((F.lit(float(df.count())) + 1) / (F.col("df") + 1)))
 
 
@@ -51,8 +51,8 @@ def hashed_tf_idf(df: DataFrame, text: str, buckets: int = 1 << 18) -> DataFrame
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """``(term, term_index)`` by frequency in the whole corpus, ties by term."""
-    terms = df.select(F.explode(tokens(F.col(text))).alias("term"))
-    totals = checkpointed(terms.groupBy("term").agg(F.count("*").alias("n")))
+    terms = spread(df).select(F.explode(tokens(F.col(text))).alias("term"))
+    totals = materialised(terms.groupBy("term").agg(F.count("*").alias("n")))
     return number_rows(totals, [F.desc("n"), F.asc("term")], "rn").select(
         "term", (F.col("rn") - 1).alias("term_index"))
 
@@ -73,5 +73,5 @@ def word_vectors(df: DataFrame, tokens_column: str, size: int = 3, min_count: in
                  output: str = "vector") -> DataFrame:
     """Mean word embedding of each document, trained over as many partitions as a shuffle has."""
     model = Word2Vec(inputCol=tokens_column, outputCol=output, vectorSize=size, minCount=min_count, seed=seed,
-                     numPartitions=shuffle_partitions(df.sparkSession)).fit(df)
+                     numPartitions=shuffle_partitions(df.sparkSession)).fit(spread(df))
     return model.transform(df)

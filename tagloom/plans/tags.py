@@ -19,14 +19,13 @@ from tagloom.functions.shopping import (COLOUR_CODES, FEMALE, FEMALE_COLOURS, FE
 from tagloom.functions.texts import item_of_url
 from tagloom.operators.aggregates import discount_totals, implicit_ratings, last_event, rfe, rfm, usage_counts
 from tagloom.operators.classify import class_labels, hash_split, tree_pipeline
-from tagloom.operators.cluster import (Centres, assign, centres_of, clusters_to_tags, elbow, fit_kmeans, rank_tags,
-                                       select_k)
+from tagloom.operators.cluster import Centres, assign, clusters_to_tags, elbow, fit_kmeans, rank_tags, select_k
 from tagloom.operators.match import match_exact, match_range
 from tagloom.operators.ordering import top_n_per_group
 from tagloom.operators.recommend import fit_als, items_as_csv, numeric_ids, top_items
 from tagloom.operators.rules import range_rules
-from tagloom.session import checkpointed
-from tagloom.sources.stores import stored_kmeans
+from tagloom.session import materialised
+from tagloom.sources.stores import stored_centres
 
 
 def _tagged(df: DataFrame, user: str) -> DataFrame:
@@ -112,13 +111,12 @@ def cluster_tag(features: DataFrame, columns: Sequence[str], rules: DataFrame, c
     if centres is None:
         k = rules.count()
         # Read by the fit and by the assignment; far smaller than the source it sums up.
-        users = checkpointed(users)
+        users = materialised(users)
 
         def fit():
             return fit_kmeans(users, columns, k, seed, max_iter)
 
-        model = stored_kmeans(spark, model_path, k, columns, fit, refresh) if model_path else fit()
-        centres = centres_of(model)
+        centres = stored_centres(spark, model_path, k, columns, fit, refresh) if model_path else fit()
     return clusters_to_tags(assign(users, columns, centres), rank_tags(features, centres, rules, numeric_rank))
 
 
@@ -195,9 +193,9 @@ def train_purchase_tree(bought: DataFrame, train_share: float = 0.8, seed: int =
     the counted code pairs, whose number is bounded by the two dictionaries.
     """
     split = hash_split(bought, ["cOrderSn", "color", "productType"], train_share, seed)
-    per_user = checkpointed(split.groupBy("userId", "color", "productType", "gender", "part")
+    per_user = materialised(split.groupBy("userId", "color", "productType", "gender", "part")
                             .agg(F.sum("n").alias("n")))
-    cases = checkpointed(per_user.groupBy("color", "productType", "gender", "part")
+    cases = materialised(per_user.groupBy("color", "productType", "gender", "part")
                          .agg(F.sum("n").cast("double").alias("weight")))
     labels = class_labels(cases, "gender")
     model = tree_pipeline(["color", "productType"], "gender", labels, trees, seed=seed).fit(

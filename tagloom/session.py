@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -33,11 +37,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write rows that several later steps read to the shared folder, as a Parquet table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so rows and partitions no longer change on a retry."""
+    """Cut the lineage with a reliable checkpoint that keeps the partitions and the order of the rows in them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of driver rows as a frame."""
+    struct = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = [pa.array([row[i] for row in rows], arrow.field(i).type) for i in range(len(struct))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), struct)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that is stored in few, large pieces.
+
+    A table with as many scan partitions as the session has cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.profile import upsert
+from tagloom.session import local_frame
 
 PROFILE_SCHEMA = "userId string, tagsId string"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def _marked(spark: SparkSession, folders: str) -> list[str]:
+    """Names of the matching folders that hold a completely written table."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folders}/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [f.getPath().getParent().getName() for f in found or []]
 
 
 class ProfileStore:
@@ -33,14 +35,13 @@ class ProfileStore:
 
     def version(self) -> int:
         """Number of the newest complete snapshot, 0 when there is none."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/snapshot-*/_SUCCESS")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return max((int(f.getPath().getParent().getName().rsplit("-", 1)[1]) for f in found or []), default=0)
+        found = _marked(self.spark, f"{self.root}/snapshot-*")
+        return max((int(name.rsplit("-", 1)[1]) for name in found), default=0)
 
     def read(self) -> DataFrame:
         version = self.version()
         if version == 0:
-            return self.spark.createDataFrame([], PROFILE_SCHEMA)
+            return local_frame(self.spark, [], PROFILE_SCHEMA)
         return self.spark.read.schema(PROFILE_SCHEMA).parquet(self._snapshot(version))
 
     def replace(self, profile: DataFrame) -> DataFrame:
@@ -54,18 +55,16 @@ class ProfileStore:
         return self.replace(upsert(self.read(), changes) if self.version() else changes)
 
 
-def stored_kmeans(spark: SparkSession, path: str, k: int, features: Sequence[str],
-                  fit: Callable[[], KMeansModel], refresh: bool = False) -> KMeansModel:
-    """Load the model saved below ``path`` for this ``k`` and these features, or fit and save it.
+def stored_centres(spark: SparkSession, path: str, k: int, features: Sequence[str],
+                   fit: Callable[[], Sequence[Sequence[float]]], refresh: bool = False) -> list[list[float]]:
+    """Load the cluster centres saved below ``path`` for this ``k`` and these features, or fit and save them.
 
-    A marker with both is written after the model, so a save that broke off is
-    not taken for a model. ``refresh`` fits anew in any case.
+    The success marker of the written table tells a complete model from a save
+    that broke off. ``refresh`` fits anew in any case.
     """
     folder = f"{path.rstrip('/')}/{'-'.join(features)}-k{k}"
-    if not refresh and path_exists(spark, f"{folder}/settings/_SUCCESS"):
-        return KMeansModel.load(f"{folder}/model")
-    model = fit()
-    model.write().overwrite().save(f"{folder}/model")
-    settings = spark.createDataFrame([(k, ",".join(features))], "k int, features string")
-    settings.write.mode("overwrite").json(f"{folder}/settings")
-    return model
+    if refresh or not _marked(spark, folder):
+        centres = [(i, [float(x) for x in centre]) for i, centre in enumerate(fit())]
+        local_frame(spark, centres, "cluster int, centre array<double>").write.mode("overwrite").parquet(folder)
+    # One row per cluster.
+    return [list(row["centre"]) for row in spark.read.parquet(folder).orderBy("cluster").collect()]
