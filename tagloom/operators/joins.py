@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.session import local_frame, shuffle_partitions
 
 # A side is broadcast only below both bounds, measured before the join.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 # Size of the sketch that looks for hot join keys.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Tokenizer, Word2Vec
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.texts import tokens
@@ -16,10 +16,23 @@ def tokenize(df: DataFrame, text: str, output: str = "tokens") -> DataFrame:
     return df.withColumn(output, tokens(F.col(text)))
 
 
+def _each(df: DataFrame, terms: Column) -> DataFrame:
+    """One row per term. The outer form keeps Spark from splitting each text once more just to skip empty ones."""
+    return df.select(F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
+
+
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, term, tf)`` for the exact terms of every text."""
-    return (spread(df).select(doc, F.explode(tokens(F.col(text))).alias("term"))
-            .groupBy(doc, "term").agg(F.count("*").alias("tf")))
+    """``(doc, term, tf)`` for the exact terms of every text; each row is a document.
+
+    The tokens of a row are sorted and runs of equal ones measured in place, so
+    nothing is shuffled.
+    """
+    words = spread(df).select(doc, F.sort_array(tokens(F.col(text))).alias("_w"))
+    starts = words.select(doc, "_w", F.expr(
+        "filter(sequence(0, greatest(size(_w) - 1, 0)), i -> i = 0 OR _w[i] != _w[greatest(i - 1, 0)])").alias("_start"))
+    ends = "concat(slice(_start, 2, size(_w)), array(size(_w)))"
+    runs = F.expr(f"zip_with(_start, {ends}, (a, b) -> struct(get(_w, a) AS term, CAST(b - a AS BIGINT) AS tf))")
+    return starts.select(doc, F.inline_outer(runs)).where(F.col("term").isNotNull())
 
 
 def inverse_document_frequency(df: DataFrame, text: str) -> DataFrame:
@@ -28,7 +41,7 @@ def inverse_document_frequency(df: DataFrame, text: str) -> DataFrame:
     Each row is a document and hands out each of its terms once, so the only
     shuffle carries partial counts per term.
     """
-    terms = spread(df).select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    terms = _each(spread(df), F.array_distinct(tokens(F.col(text))))
     frequency = materialised(terms.groupBy("term").agg(F.count("*").alias("df")))
     return frequency.withColumn("idf", F.log((F.lit(float(df.count())) + 1) / (F.col("df") + 1)))
 
@@ -51,7 +64,7 @@ def hashed_tf_idf(df: DataFrame, text: str, buckets: int = 1 << 18) -> DataFrame
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """``(term, term_index)`` by frequency in the whole corpus, ties by term."""
-    terms = spread(df).select(F.explode(tokens(F.col(text))).alias("term"))
+    terms = _each(spread(df), tokens(F.col(text)))
     totals = materialised(terms.groupBy("term").agg(F.count("*").alias("n")))
     return number_rows(totals, [F.desc("n"), F.asc("term")], "rn").select(
         "term", (F.col("rn") - 1).alias("term_index"))
