@@ -12,6 +12,7 @@ from tagloom.functions.scores import RFE_BINS, RFM_BINS, discount_columns
 from tagloom.functions.shopping import dictionary_code, purchase_label, vote_rule
 from tagloom.functions.texts import is_blank, item_of_url, struct_field_csv
 from tagloom.operators.aggregates import implicit_ratings, votes
+from tagloom.operators.ordering import top_n_per_group
 from tagloom.plans.tags import psm_features, rfe_features, rfm_features, score
 
 # The bins moved to the quartiles of the given tables, so that every score occurs.
@@ -125,13 +126,13 @@ def _(spark, sf):
 
 
 @query("f12_struct_csv", f"""
-  SELECT user_id, string_agg(item, ',' ORDER BY CAST(item AS INTEGER)) AS items FROM (
-    SELECT DISTINCT user_id, item FROM {LOGS_SQL} l WHERE item IS NOT NULL) GROUP BY 1""")
+  SELECT user_id, string_agg(item, ',' ORDER BY rn) AS items FROM (
+    SELECT user_id, item, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, item) AS rn
+    FROM {LOGS_SQL} l WHERE item IS NOT NULL GROUP BY 1, 2) WHERE rn <= 5 GROUP BY 1""")
 def _(spark, sf):
     logs = log_source(spark, sf).select(F.col("global_user_id").alias("user_id"), item_of_url(F.col("loc_url")).alias("item"))
-    rated = implicit_ratings(logs, "user_id", "item").withColumn("item", F.col("item").cast("int"))
-    # One struct per distinct item of a user.
-    lists = rated.groupBy("user_id").agg(F.array_sort(F.collect_set(F.struct("item", "rating"))).alias("rated"))
+    best = top_n_per_group(implicit_ratings(logs, "user_id", "item"), "user_id", [F.desc("rating"), F.asc("item")], 5)
+    lists = best.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rn", "item"))).alias("rated"))  # five each
     return lists.select("user_id", struct_field_csv(F.col("rated"), "item").alias("items"))
 
 

@@ -96,8 +96,8 @@ COUPON_SQL = """(
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
-PRODUCT_URL = "http://www.eshop.com/product/"
-OTHER_URL = "http://www.eshop.com/help/"
+PRODUCT_URL = "http://shop.example/product/"
+OTHER_URL = "http://shop.example/help/"
 
 
 def log_source(spark: SparkSession, sf_dir: str) -> DataFrame:

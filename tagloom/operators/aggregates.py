@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagloom.functions.dates import days_since
+from tagloom.functions.dates import days_since, epoch_to_timestamp
 from tagloom.functions.scores import discount_columns
 from tagloom.operators.joins import skew_join
 from tagloom.operators.ordering import running_total
@@ -24,9 +25,16 @@ def usage_counts(df: DataFrame, user: str, value: str) -> DataFrame:
 
 
 def rfm(df: DataFrame, user: str, order: str, amount: str, time: str, as_of: str, shift_days: int = 0) -> DataFrame:
-    """Days since the last order, number of orders and amount spent per user."""
+    """Days since the last order, number of orders and amount spent per user.
+
+    ``time`` is a timestamp without zone or epoch seconds, which are turned into
+    a timestamp only after the maximum is found.
+    """
+    last = F.max(time)
+    if isinstance(df.schema[time].dataType, T.LongType):
+        last = epoch_to_timestamp(last)
     return df.groupBy(user).agg(
-        days_since(F.max(time), as_of, shift_days).alias("recency"),
+        days_since(last, as_of, shift_days).alias("recency"),
         F.count(order).alias("frequency"),
         F.sum(amount).alias("monetary"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.joins import fits_broadcast, lookup_join
+from tagloom.operators.joins import fits_broadcast, lookup_join, skew_join
 from tagloom.operators.ordering import number_rows
 from tagloom.operators.rules import exact_rules
 
@@ -47,20 +47,25 @@ def match_range(df: DataFrame, value: str, bands: DataFrame, spread_by: Sequence
     A value in a gap drops its row, overlapping bands give one row each. A few
     bands are compared directly. More are cut into power-of-two cells, at most
     two per level, and joined by equality: the cells of one band are disjoint,
-    so each (row, band) pair is found exactly once.
+    so each (row, band) pair is found exactly once. Cells beyond the broadcast
+    bound meet each distinct value once instead of every row.
     """
     if len(bands.take(LOOP_BANDS + 1)) <= LOOP_BANDS and fits_broadcast(bands):
         small = F.broadcast(bands.select("tagsId", "start", "end"))
         return df.join(small, F.col(value).between(F.col("start"), F.col("end"))).drop("start", "end")
     cells = band_cells(bands)
-    levels = [r["level"] for r in cells.select("level").distinct().collect()]  # at most CELL_LEVELS
-    level_list = F.array(*[F.lit(level) for level in sorted(levels)])
-    points = (df.withColumn("_level", F.explode(level_list))
-              .withColumn("_cell", F.expr(f"struct(_level, shiftright(CAST({value} AS BIGINT), _level) AS cell)")))
-    keyed = cells.select(F.struct(F.col("level").alias("_level"), "cell").alias("_band_cell"), "tagsId")
-    joined = lookup_join(points, keyed, "_cell", "_band_cell", "inner",
-                         [*spread_by, "_level"] if spread_by else None)
-    return joined.drop("_level", "_cell")
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())  # at most CELL_LEVELS + 1
+    if fits_broadcast(cells):
+        return _join_cells(df, value, F.broadcast(cells), levels)
+    values = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_value")).distinct()
+    matched = _join_cells(values, "_value", cells, levels)
+    return skew_join(df, matched, value, "_value", "inner", spread_by)
+
+
+def _join_cells(df: DataFrame, value: str, cells: DataFrame, levels: Sequence[int]) -> DataFrame:
+    points = (df.withColumn("level", F.explode(F.array(*[F.lit(level) for level in levels])))
+              .withColumn("cell", F.expr(f"shiftright(CAST({value} AS BIGINT), level)")))
+    return points.join(cells, ["level", "cell"]).drop("level", "cell")
 
 
 def band_cells(bands: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """The tag jobs. Each turns (source, rules) into ``(userId string, tagsId string)``.
 
-Sources hold text columns, as read by ``read_fields``; numbers and times are
-cast where they enter a job. ``rules`` is ``(id, rule)``.
+Sources hold text columns or typed ones; numbers and times are cast where they
+enter a job. Order times are epoch seconds. ``rules`` is ``(id, rule)``.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from tagloom.functions.texts import item_of_url
 from tagloom.operators.aggregates import discount_totals, implicit_ratings, last_event, rfe, rfm, usage_counts
 from tagloom.operators.classify import class_labels, hash_split, tree_pipeline
 from tagloom.operators.cluster import Centres, assign, clusters_to_tags, elbow, fit_kmeans, rank_tags, select_k
+from tagloom.operators.joins import lookup_join
 from tagloom.operators.match import match_exact, match_range
 from tagloom.operators.ordering import top_n_per_group
 from tagloom.operators.recommend import fit_als, items_as_csv, numeric_ids, top_items
@@ -37,12 +38,13 @@ def _tagged(df: DataFrame, user: str) -> DataFrame:
 def exact_tag(users: DataFrame, rules: DataFrame, value: str, user: str = "id", on_missing: str = "error",
               default: str | None = None) -> DataFrame:
     """Gender and job: the rule equals the user's value."""
-    return _tagged(match_exact(users.select(user, value), value, rules, on_missing, default, [user]), user)
+    values = users.select(user, F.col(value).cast("string").alias("_value"))
+    return _tagged(match_exact(values, "_value", rules, on_missing, default, [user]), user)
 
 
 def age_tag(users: DataFrame, rules: DataFrame, user: str = "id", birthday: str = "birthday") -> DataFrame:
     """Birth decade: the birthday as ``yyyyMMdd`` lies in the band."""
-    days = users.select(user, compact_date(F.col(birthday)).try_cast("long").alias("_day"))
+    days = users.select(user, compact_date(F.col(birthday).cast("string")).try_cast("long").alias("_day"))
     return _tagged(match_range(days, "_day", range_rules(rules), [user]), user)
 
 
@@ -62,7 +64,8 @@ def cycle_tag(orders: DataFrame, rules: DataFrame, as_of: str, shift_days: int =
 
 def payment_tag(orders: DataFrame, rules: DataFrame, default: str = "other") -> DataFrame:
     """Most used payment method, ties by name; a method without a rule counts as ``default``."""
-    counts = usage_counts(orders, "memberId", "paymentCode")
+    methods = orders.select("memberId", F.col("paymentCode").cast("string").alias("paymentCode"))
+    counts = usage_counts(methods, "memberId", "paymentCode")
     top = top_n_per_group(counts, "memberId", [F.desc("counts"), F.asc("paymentCode")], 1)
     return _tagged(match_exact(top.select("memberId", "paymentCode"), "paymentCode", rules, default=default,
                                spread_by=["memberId"]), "memberId")
@@ -72,7 +75,7 @@ def payment_tag(orders: DataFrame, rules: DataFrame, default: str = "other") ->
 
 def rfm_features(orders: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
     typed = orders.select("memberId", "orderSn", F.col("orderAmount").cast("double").alias("orderAmount"),
-                          epoch_to_timestamp(F.col("finishTime").cast("long")).alias("finishTime"))
+                          F.col("finishTime").cast("long").alias("finishTime"))
     return (rfm(typed, "memberId", "orderSn", "orderAmount", "finishTime", as_of, shift_days)
             .withColumnRenamed("memberId", "userId"))
 
@@ -200,10 +203,11 @@ def train_purchase_tree(bought: DataFrame, train_share: float = 0.8, seed: int =
     labels = class_labels(cases, "gender")
     model = tree_pipeline(["color", "productType"], "gender", labels, trees, seed=seed).fit(
         cases.where(F.col("part") == "train"))
+    codes = F.struct("color", "productType")
     predictions = (model.transform(cases.dropDuplicates(["color", "productType"]))
-                   .select("color", "productType", "predict_string"))
-    # One row per pair of codes, bounded by the dictionaries.
-    predicted = per_user.join(F.broadcast(predictions), ["color", "productType"])
+                   .select(codes.alias("_pair"), "predict_string"))
+    predicted = lookup_join(per_user.withColumn("_codes", codes), predictions, "_codes", "_pair", "inner",
+                            ["userId", "gender", "part"]).drop("_codes")
     counts = predicted.groupBy("part", F.col("gender").alias("label"), F.col("predict_string").alias("prediction")
                                ).agg(F.sum("n").alias("n"))
     return model, predicted, counts

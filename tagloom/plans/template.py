@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.profile import drop_tags, merge_all_users
 from tagloom.operators.rules import SourceSpec, child_rules, source_spec
@@ -23,9 +24,9 @@ class TagJob:
     compute: Compute
 
 
-def parquet_source(spark, root: str) -> Callable[[SourceSpec], DataFrame]:
-    """Reader for specs whose table is a Parquet table below ``root``."""
-    return lambda spec: read_fields(spark, f"{root.rstrip('/')}/{spec.table}.parquet", spec.fields)
+def parquet_source(spark: SparkSession, root: str) -> Callable[[SourceSpec], DataFrame]:
+    """Reader for specs whose table is a Parquet table below ``root``; the columns keep their types."""
+    return lambda spec: read_fields(spark, f"{root.rstrip('/')}/{spec.table}.parquet", spec.fields, as_text=False)
 
 
 def compute_tags(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame]) -> DataFrame:
@@ -33,16 +34,23 @@ def compute_tags(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec
     return job.compute(source, child_rules(tags, job.tag_id)).select("userId", "tagsId")
 
 
-def run_job(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame], store: ProfileStore,
-            replace_siblings: bool = False) -> DataFrame:
-    """Compute the tags of a job, add them to the profile and return the written profile.
+def run_jobs(jobs: Sequence[TagJob], tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame],
+             store: ProfileStore, replace_siblings: bool = False) -> DataFrame:
+    """Compute the tags of the jobs, add them to the profile and return the written profile.
 
-    A tag once given stays, as in a plain union. With ``replace_siblings`` the
-    job's earlier tags are taken away first, so a user who moved to another
-    band holds only the new one.
+    All jobs share one merge and one write of the profile. A tag once given
+    stays, as in a plain union. With ``replace_siblings`` the jobs' earlier
+    tags are taken away first, so a user who moved to another band holds only
+    the new one.
     """
-    new = compute_tags(job, tags, read_source)
+    new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in jobs])
     old = store.read()
     if replace_siblings:
-        old = drop_tags(old, child_rules(tags, job.tag_id))
+        own = [child_rules(tags, job.tag_id) for job in jobs]
+        old = drop_tags(old, reduce(DataFrame.unionByName, own))
     return store.replace(merge_all_users(new, old))
+
+
+def run_job(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame], store: ProfileStore,
+            replace_siblings: bool = False) -> DataFrame:
+    return run_jobs([job], tags, read_source, store, replace_siblings)

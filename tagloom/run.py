@@ -1,4 +1,7 @@
-"""Run one tag job: ``spark-submit -m tagloom.run --tag 23 --as-of 2019-08-31 --tags ... --sources ... --profile ...``."""
+"""Run tag jobs.
+
+``spark-submit tagloom/run.py --tag 23 29 --as-of 2019-08-31 --tags TAGS --sources FOLDER --profile FOLDER``
+"""
 
 from __future__ import annotations
 
@@ -7,14 +10,14 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tagloom.plans.registry import JobOptions, job
-from tagloom.plans.template import parquet_source, run_job
+from tagloom.plans.template import parquet_source, run_jobs
 from tagloom.sources.readers import read_fields, read_tags
 from tagloom.sources.stores import ProfileStore
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    parser = argparse.ArgumentParser(description="Compute one tag and add it to the profile.")
-    parser.add_argument("--tag", type=int, required=True, help="id of the level-4 tag")
+    parser = argparse.ArgumentParser(description="Compute tags and add them to the profile.")
+    parser.add_argument("--tag", type=int, nargs="+", required=True, help="ids of the level-4 tags")
     parser.add_argument("--as-of", required=True, help="day that recency is counted from, yyyy-mm-dd")
     parser.add_argument("--shift-days", type=int, default=0, help="days to move that day back")
     parser.add_argument("--tags", required=True, help="Parquet path of the tag table")
@@ -25,14 +28,14 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     parser.add_argument("--refresh", action="store_true", help="fit models anew")
     parser.add_argument("--replace-siblings", action="store_true", help="take away this job's earlier tags")
     args = parser.parse_args(arguments)
-    spark = spark or SparkSession.builder.appName(f"tag-{args.tag}").getOrCreate()
+    spark = spark or SparkSession.builder.appName("tags").getOrCreate()
 
     def orders():
-        return read_fields(spark, f"{args.sources.rstrip('/')}/{args.orders_table}.parquet", ["memberId", "orderSn"])
+        return read_fields(spark, f"{args.sources.rstrip('/')}/{args.orders_table}.parquet", ["memberId", "orderSn"], as_text=False)
 
     options = JobOptions(args.as_of, args.shift_days, args.models, args.refresh, orders)
-    run_job(job(args.tag, options), read_tags(spark, args.tags), parquet_source(spark, args.sources),
-            ProfileStore(spark, args.profile), args.replace_siblings)
+    run_jobs([job(tag, options) for tag in args.tag], read_tags(spark, args.tags), parquet_source(spark, args.sources),
+             ProfileStore(spark, args.profile), args.replace_siblings)
 
 
 if __name__ == "__main__":

@@ -14,9 +14,11 @@ LOG_COLUMNS = ["id", "log_id", "remote_ip", "site_global_ticket", "site_global_s
                "cookie_text", "user_agent", "ref_url", "loc_url", "log_time"]
 
 
-def read_fields(spark: SparkSession, path: str, fields: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """The named fields of a table, all as nullable strings; only these columns are read."""
-    return spark.read.format(fmt).load(path).select(*[F.col(f).cast("string").alias(f) for f in fields])
+def read_fields(spark: SparkSession, path: str, fields: Sequence[str], fmt: str = "parquet",
+                as_text: bool = True) -> DataFrame:
+    """The named fields of a table; only these columns are read. All are strings unless ``as_text`` is off."""
+    source = spark.read.format(fmt).load(path)
+    return source.select(*[F.col(f).cast("string").alias(f) if as_text else F.col(f) for f in fields])
 
 
 def read_tags_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],

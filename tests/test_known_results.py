@@ -31,7 +31,7 @@ def rules(spark, rows):
 
 
 def test_source_rule(spark):
-    rule = ("inType=HBase##zkHosts=192.168.10.20##zkPort=2181##hbaseTable=tbl_users##family=detail##"
+    rule = ("inType=HBase##zkHosts=zk.example##zkPort=2181##hbaseTable=tbl_users##family=detail##"
             "selectFields=id,gender")
     tags = spark.createDataFrame([(4, "gender", rule, 4, 3), (9, "bad", "inType=HBase##oops", 4, 3)],
                                  "id long, name string, rule string, level int, pid long")
@@ -155,7 +155,7 @@ def test_purchase_codes(spark):
 
 
 def test_url_items(spark):
-    urls = ["http://www.eshop.com/product/11013.html?ebi=1", "http://x.html/product/5.html", "http://x/product/.html",
+    urls = ["http://shop.example/product/11013.html?ebi=1", "http://x.html/product/5.html", "http://x/product/.html",
             "http://x/product/5", "http://x/5.html", None, "http://x/product/a/product/b.html"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(item_of_url(F.col("u"))).collect()] == ["11013", None, "", None, None, None, "a/product/b"]

@@ -77,7 +77,9 @@ def brute_force(values, bands):
     return Counter((v, t) for v in values if v is not None for t, lo, hi in bands if lo <= v <= hi)
 
 
-def test_many_bands(spark, tight):
+@pytest.mark.parametrize("broadcast_rows", [1, 10**6])
+def test_many_bands(spark, tight, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
     generator = random.Random(3)
     values = [generator.randint(-50, 2000) for _ in range(400)] + [None, 0, 0, 0, 10**15, -(10**15)]
     bands = [(i, lo, lo + generator.choice([0, 1, 7, 64, 999])) for i, lo in enumerate(generator.sample(range(-100, 1900), 150))]

@@ -143,7 +143,7 @@ def shop(spark, tmp_path):
                                   "couponCodeValue string").write.parquet(f"{root}/tbl_orders.parquet")
     goods = [(o[1], ["黑色", "樱花粉", "白色"][i % 3], ["烤箱", "料理机"][i % 2]) for i, o in enumerate(orders)]
     spark.createDataFrame(goods, "cOrderSn string, ogColor string, productType string").write.parquet(f"{root}/tbl_goods.parquet")
-    logs = [(str(u), f"http://www.eshop.com/product/{i % (3 + u)}.html", f"2019-08-{1 + i % 28:02d} 09:10:37")
+    logs = [(str(u), f"http://shop.example/product/{i % (3 + u)}.html", f"2019-08-{1 + i % 28:02d} 09:10:37")
             for u in range(20) for i in range(30)]
     spark.createDataFrame(logs, "global_user_id string, loc_url string, log_time string").write.parquet(f"{root}/tbl_logs.parquet")
 
@@ -186,6 +186,28 @@ def test_all_jobs_from_the_command_line(spark, shop):
     assert all(len(own & ids[4]) == 1 and len(own & ids[29]) == 1 for own in profile.values())
 
 
+def test_several_jobs_share_one_write(spark, shop):
+    root, ids = shop
+    run.main(["--tag", "4", "23", "29", "--as-of", "2019-09-01", "--tags", f"{root}/tags.parquet", "--sources", root,
+              "--profile", f"{root}/together", "--replace-siblings"], spark)
+    store = ProfileStore(spark, f"{root}/together")
+    assert store.version() == 1
+    own = [set(r["tagsId"].split(",")) for r in store.read().collect()]
+    assert len(own) == 40 and all(len(t & ids[4]) == 1 and len(t & ids[29]) == 1 for t in own)
+
+
+def test_typed_sources_give_the_same_tags(spark):
+    from tagloom.plans import tags
+
+    rules = spark.createDataFrame([(1, "1"), (2, "2")], "id long, rule string")
+    bands = spark.createDataFrame([(8, "19800101-19991231")], "id long, rule string")
+    text = spark.createDataFrame([("1", "2", "1990-01-02"), ("2", "1", "1970-01-01")], "id string, gender string, birthday string")
+    typed = text.select(F.col("id").cast("long").alias("id"), F.col("gender").cast("int").alias("gender"),
+                        F.col("birthday").cast("date").alias("birthday"))
+    assert pairs(tags.exact_tag(text, rules, "gender")) == pairs(tags.exact_tag(typed, rules, "gender")) == [("1", "2"), ("2", "1")]
+    assert pairs(tags.age_tag(text, bands)) == pairs(tags.age_tag(typed, bands)) == [("1", "8")]
+
+
 def test_unknown_job(spark, shop):
     root, _ = shop
     with pytest.raises(KeyError):
