@@ -18,11 +18,6 @@ def hash_split(df: DataFrame, key: Sequence[str], train_share: float, seed: int
     return df.withColumn("part", F.when(bucket < round(train_share * 1_000_000), "train").otherwise("test"))
 
 
-def weighted_cases(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
-    """Distinct (features, label) rows with their number of rows as weight."""
-    return df.groupBy(*features, label, *extra).agg(F.count("*").cast("double").alias("weight"))
-
-
 def tree_pipeline(features: Sequence[str], label: str, labels: Sequence[str], trees: int = 1, max_depth: int = 5,
                   seed: int = 100) -> Pipeline:
     """Label index, vector, categorical index, tree (or forest) and label text as one pipeline.

@@ -13,8 +13,9 @@ from tagloom.session import local_frame, shuffle_partitions
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Size of the sketch that looks for hot join keys.
-HOT_KEYS = 1000
+# Most hot keys looked for, and the size of the sketch that finds them.
+HOT_KEYS = 100_000
+SKETCH_KEYS = 1_000_000
 # A key with fewer rows than this is never worth splitting.
 HOT_ROWS = 100_000
 
@@ -38,12 +39,16 @@ def lookup_join(df: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str
 def hot_keys(df: DataFrame, key: str) -> list[tuple[int, int]]:
     """Hashes of the keys too frequent for one task, each with the number of tasks it needs.
 
-    One pass over the key column with a mergeable sketch. An estimate that is
-    off changes only how the work is split, never the joined rows.
+    A key is hot above half the mean partition, so there are fewer than twice
+    as many as partitions. One pass over the key column with a mergeable sketch
+    finds them; an estimate that is off changes only how the work is split,
+    never the joined rows.
     """
     parts = shuffle_partitions(df.sparkSession)
     hashed = df.select(F.xxhash64(key).alias("h"))
-    rows, top = hashed.agg(F.count("*"), F.expr(f"approx_top_k(h, {HOT_KEYS}, {10 * HOT_KEYS})")).first()
+    wanted = min(2 * parts, HOT_KEYS)
+    tracked = min(max(10 * wanted, 10_000), SKETCH_KEYS)
+    rows, top = hashed.agg(F.count("*"), F.expr(f"approx_top_k(h, {wanted}, {tracked})")).first()
     share = max(rows // parts, 1)
     return [(t["item"], min(parts, t["count"] // share + 2)) for t in top or []
             if t["count"] >= HOT_ROWS and 2 * t["count"] > share]

@@ -101,8 +101,8 @@ def top_n_per_group(df: DataFrame, group: str, order_by: Sequence[str | Column],
                     name: str = "rn") -> DataFrame:
     """First ``n`` rows of each group.
 
-    The rank limit is applied in each map task before the shuffle, so a hot
-    group reaches the final task with at most ``n`` rows per map task.
+    Up to ``n`` = 1000 Spark applies the limit in each map task before the
+    shuffle, so a hot group reaches the final task with ``n`` rows per map task.
     """
     window = W.partitionBy(group).orderBy(*_names(df, order_by))
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)

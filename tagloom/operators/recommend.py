@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +13,10 @@ from pyspark.sql import functions as F
 from tagloom.functions.texts import struct_field_csv
 from tagloom.session import ensure_checkpoint_dir, shuffle_partitions
 
+# Largest factor table that is sent to every executor, and the products one block may hold.
+FACTOR_BYTES = 64 * 1024 * 1024
+BLOCK_CELLS = 8_000_000
+
 
 def numeric_ids(ratings: DataFrame, user: str, item: str) -> DataFrame:
     """Integer ids and double ratings, as ALS needs them; ids that are no integers are left out."""
@@ -35,14 +43,64 @@ def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 def top_items(model: ALSModel, n: int = 5, users: DataFrame | None = None) -> DataFrame:
     """``(userId, recommendations)`` with the ``n`` best items of all or of the given users."""
+    best = _best_matches(model.userFactors, model.itemFactors, model.rank, n, "userId", "itemId", users)
+    if best is not None:
+        return best
     return model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
 
 
 def top_users(model: ALSModel, n: int = 5, items: DataFrame | None = None) -> DataFrame:
     """``(itemId, recommendations)`` with the ``n`` best users of all or of the given items."""
+    best = _best_matches(model.itemFactors, model.userFactors, model.rank, n, "itemId", "userId", items)
+    if best is not None:
+        return best
     return model.recommendForAllItems(n) if items is None else model.recommendForItemSubset(items, n)
 
 
+def _best_matches(asking: DataFrame, offered: DataFrame, rank: int, n: int, key: str, other: str,
+                  subset: DataFrame | None) -> DataFrame | None:
+    """Best ``n`` offered factors for each asking one, without a shuffle; None when ``offered`` is too large to send.
+
+    Each task multiplies a block of asking factors with all offered ones and
+    keeps the ``n`` highest products of every row.
+    """
+    count = offered.count()
+    if count * (rank + 1) * 4 > FACTOR_BYTES:
+        return None
+    if subset is not None:
+        asking = asking.join(subset.select(F.col(key).alias("id")), "id", "left_semi")
+    # Bounded by FACTOR_BYTES just above.
+    table = offered.orderBy("id").toArrow()
+    spark = asking.sparkSession
+    shared = spark.sparkContext.broadcast((table["id"].combine_chunks().to_numpy(), _matrix(table["features"], rank)))
+    kept = min(n, count)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, factors = shared.value
+        block = max(1, BLOCK_CELLS // max(1, len(ids)))
+        for batch in batches:
+            keys, rows = batch.column("id"), _matrix(batch.column("features"), rank)
+            for at in range(0, len(rows), block):
+                products = rows[at:at + block] @ factors.T
+                top = np.argpartition(-products, kept - 1, axis=1)[:, :kept]
+                order = np.argsort(-np.take_along_axis(products, top, axis=1), axis=1, kind="stable")
+                top = np.take_along_axis(top, order, axis=1)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(ids[top].ravel()), pa.array(np.take_along_axis(products, top, axis=1).ravel())],
+                    fields=[pa.field(other, pa.int32()), pa.field("rating", pa.float32())])
+                offsets = pa.array(np.arange(0, top.size + 1, kept, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(at, len(top)), pa.ListArray.from_arrays(offsets, pairs)], names=[key, "recommendations"])
+
+    schema = f"{key} int, recommendations array<struct<{other}: int, rating: float>>"
+    return asking.select("id", "features").mapInArrow(best, schema)
+
+
+def _matrix(features: pa.ChunkedArray | pa.Array, rank: int) -> np.ndarray:
+    flat = features.combine_chunks() if isinstance(features, pa.ChunkedArray) else features
+    return np.ascontiguousarray(flat.flatten().to_numpy(zero_copy_only=False), dtype=np.float32).reshape(-1, rank)
+
+
 def items_as_csv(recommendations: DataFrame) -> DataFrame:
     """``(userId, tagsId)`` where ``tagsId`` lists the recommended items, best first."""
     return recommendations.select(F.col("userId").cast("string").alias("userId"),

@@ -20,16 +20,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     not be visible to the executors.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if context.getCheckpointDir():
-            return context.getCheckpointDir()
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tagloom-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
-    return root if spark.conf.get("spark.checkpoint.dir", None) else context.getCheckpointDir()
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,4 +1,4 @@
-"""Run registered queries and their SQL side by side: ``python tests/oracle.py SF_DIR [name ...]``."""
+"""Run registered queries and their SQL side by side: ``python tests/oracle.py SF_DIR [name ...] [spark.conf=value ...]``."""
 
 from __future__ import annotations
 
@@ -18,12 +18,15 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
          "float": "FLOAT"}
 
 
-def session():
+def session(**conf):
     from pyspark.sql import SparkSession
 
-    spark = (SparkSession.builder.master("local[8]").appName("check")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+    builder = (SparkSession.builder.master("local[8]").appName("check")
+               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC"))
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -60,7 +63,9 @@ def difference(df, con, sql) -> str | None:
 def main(sf_dir, names):
     from __spark_entry__ import oracle_sql, queries
 
-    spark, con, oracles = session(), connect(sf_dir), oracle_sql()
+    conf = dict(n.split("=", 1) for n in names if "=" in n)  # for instance spark.sql.ansi.enabled=false
+    names = {n for n in names if "=" not in n}
+    spark, con, oracles = session(**conf), connect(sf_dir), oracle_sql()
     failed = []
     for name, run in queries().items():
         if names and name not in names:

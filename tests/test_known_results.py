@@ -137,6 +137,14 @@ def test_users_without_discount(spark):
     assert kept["a"] == 0.0 and kept["b"] > 0
 
 
+def test_price_sensitivity_groups(spark):
+    rows = [(f"{coupon}-{i}", str(100.0 - coupon + i / 100), str(float(coupon))) for coupon in (2, 30, 60) for i in range(20)]
+    orders = spark.createDataFrame(rows, "memberId string, orderAmount string, couponCodeValue string")
+    assert jobs.psm_cluster_count(orders, range(2, 7)) == 3
+    tagged = jobs.psm_tag(orders, rules(spark, [(51, "1"), (52, "2"), (53, "3")]))
+    assert {(r["userId"].split("-")[0], r["tagsId"]) for r in tagged.collect()} == {("60", "51"), ("30", "52"), ("2", "53")}
+
+
 def test_votes(spark):
     rows = [("a", 13, 4), ("b", 12, 1), ("c", 3, 0), ("d", 3, 2), ("e", 5, 2), ("f", 1, 4)]
     predicted = spark.createDataFrame([(u, g, n) for u, m, f in rows for g, n in (("男", m), ("女", f)) if n],

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.operators import aggregates, joins, match, ordering, rules, text
+from tagloom.operators import aggregates, joins, match, ordering, recommend, rules, text
 from tagloom.operators.match import band_cells, match_exact, match_range
 
 
@@ -164,6 +164,33 @@ def test_tag_paths(spark, tight):
     assert rules.upsert_paths(spark.createDataFrame(tags, empty.schema), paths).count() == len(tags)
 
 
+def test_best_matches_equal_the_ml_recommendation(spark, monkeypatch):
+    generator = random.Random(2)
+    seen = {(generator.randint(0, 60), generator.randint(0, 40)) for _ in range(600)}
+    ratings = spark.createDataFrame([(u, i, float(generator.randint(1, 9))) for u, i in seen], "userId int, itemId int, rating double")
+    model = recommend.fit_als(ratings, rank=4, iterations=3)
+    some_users = spark.createDataFrame([(1,), (2,), (2,), (999,)], "userId int")
+    some_items = spark.createDataFrame([(3,), (4,)], "itemId int")
+
+    def results():
+        frames = (recommend.top_items(model, 5), recommend.top_items(model, 3, some_users), recommend.top_users(model, 100),
+                  recommend.top_users(model, 4, some_items))
+        return [{r[0]: [(x[0], round(x[1], 4)) for x in r["recommendations"]] for r in f.collect()} for f in frames]
+
+    monkeypatch.setattr(recommend, "BLOCK_CELLS", 100)  # a few rows per block
+    found = results()
+    plan = recommend.top_items(model, 5)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Cross" not in plan
+    monkeypatch.setattr(recommend, "FACTOR_BYTES", 0)
+    expected = results()
+    for mine, theirs in zip(found, expected):
+        assert mine.keys() == theirs.keys()
+        for key, best in mine.items():
+            assert [s for _, s in best] == pytest.approx([s for _, s in theirs[key]], abs=2e-4)
+            assert len({i for i, _ in best}) == len(best)
+    assert len(found[0]) == 61 and set(found[1]) == {1, 2} and set(found[3]) == {3, 4}
+
+
 def test_plans_have_no_cross_join_and_prune(spark, sf_dir):
     from __spark_entry__ import queries
 
