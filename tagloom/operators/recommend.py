@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.texts import struct_field_csv
-from tagloom.session import ensure_checkpoint_dir, shuffle_partitions
+from tagloom.operators.joins import lookup_join
+from tagloom.operators.ordering import number_rows
+from tagloom.session import ensure_checkpoint_dir, materialised, shuffle_partitions
 
 # Largest factor table that is sent to every executor, and the products one block may hold.
 FACTOR_BYTES = 64 * 1024 * 1024
@@ -19,12 +21,47 @@ BLOCK_CELLS = 8_000_000
 
 
 def numeric_ids(ratings: DataFrame, user: str, item: str) -> DataFrame:
-    """Integer ids and double ratings, as ALS needs them; ids that are no integers are left out."""
+    """32-bit ids and double ratings, as ALS needs them; ids that are no such numbers are left out."""
     typed = ratings.select(F.col(user).try_cast("int").alias("userId"), F.col(item).try_cast("int").alias("itemId"),
                            F.col("rating").cast("double").alias("rating"))
     return typed.dropna()
 
 
+def has_long_ids(ratings: DataFrame, user: str, item: str) -> bool:
+    """Whether an id is a whole number that does not fit 32 bits."""
+    def too_long(c):
+        return F.col(c).try_cast("long").isNotNull() & F.col(c).try_cast("int").isNull()
+
+    return not ratings.where(too_long(user) | too_long(item)).isEmpty()
+
+
+def number_ids(ratings: DataFrame, user: str, item: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings with numbered ids, and the ``(id, number)`` tables of the users and the items."""
+    typed = materialised(ratings.select(
+        F.col(user).try_cast("long").alias("user"), F.col(item).try_cast("long").alias("item"),
+        F.col("rating").cast("double").alias("rating")).dropna())
+    tables = []
+    for c in ("user", "item"):
+        ids = materialised(typed.select(F.col(c).alias("id")).distinct())
+        tables.append(materialised(number_rows(ids, ["id"], "number").withColumn("number", F.col("number").cast("int"))))
+    users, items = tables
+    numbered = lookup_join(typed, users.withColumnRenamed("number", "userId"), "user", "id", "inner", ["item"])
+    numbered = lookup_join(numbered, items.withColumnRenamed("number", "itemId"), "item", "id", "inner", ["userId"])
+    return numbered.select("userId", "itemId", "rating"), users, items
+
+
+def restore_ids(recommendations: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Recommendations over numbers as recommendations over the ids they stand for."""
+    single = recommendations.select(F.col("userId").alias("_u"), F.posexplode("recommendations").alias("_place", "_r"))
+    single = single.select("_u", "_place", F.col("_r.itemId").alias("_i"), F.col("_r.rating").alias("rating"))
+    named = lookup_join(single, items.withColumnRenamed("id", "itemId"), "_i", "number", "inner", ["_u"])
+    # As many rows per user as there are recommendations for one.
+    lists = named.groupBy("_u").agg(F.array_sort(F.collect_list(F.struct("_place", "itemId", "rating"))).alias("_l"))
+    restored = lookup_join(lists, users.withColumnRenamed("id", "userId"), "_u", "number", "inner", ["_u"])
+    return restored.select("userId", F.transform("_l", lambda r: F.struct(r["itemId"].alias("itemId"), r["rating"].alias(
+        "rating"))).alias("recommendations"))
+
+
 def fit_als(ratings: DataFrame, rank: int = 10, iterations: int = 10, alpha: float = 0.1, reg: float = 0.1,
             implicit: bool = True, seed: int = 1) -> ALSModel:
     """Factor ``(userId, itemId, rating)``; the lineage of the iterations is cut by checkpoints."""

@@ -23,7 +23,8 @@ from tagloom.operators.cluster import Centres, assign, clusters_to_tags, elbow,
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.match import match_exact, match_range
 from tagloom.operators.ordering import top_n_per_group
-from tagloom.operators.recommend import fit_als, items_as_csv, numeric_ids, top_items
+from tagloom.operators.recommend import (fit_als, has_long_ids, items_as_csv, number_ids, numeric_ids, restore_ids,
+                                         top_items)
 from tagloom.operators.rules import range_rules
 from tagloom.session import materialised
 from tagloom.sources.stores import stored_centres
@@ -113,10 +114,11 @@ def cluster_tag(features: DataFrame, columns: Sequence[str], rules: DataFrame, c
     users = features.dropna(subset=list(columns))
     if centres is None:
         k = rules.count()
-        # Read by the fit and by the assignment; far smaller than the source it sums up.
-        users = materialised(users)
 
         def fit():
+            # Read by the fit and by the assignment; far smaller than the source it sums up.
+            nonlocal users
+            users = materialised(users)
             return fit_kmeans(users, columns, k, seed, max_iter)
 
         centres = stored_centres(spark, model_path, k, columns, fit, refresh) if model_path else fit()
@@ -221,12 +223,24 @@ def usg_tag(goods: DataFrame, rules: DataFrame, orders: DataFrame, trees: int =
 
 # --- recommendation ---------------------------------------------------------------------------------------------
 
-def bp_ratings(logs: DataFrame) -> DataFrame:
-    """Clicks per user and visited product, with integer ids."""
+def clicks(logs: DataFrame) -> DataFrame:
+    """``(user, item, rating)``: clicks per user and visited product."""
     visits = logs.select(F.col("global_user_id").alias("user"), item_of_url(F.col("loc_url")).alias("item"))
-    return numeric_ids(implicit_ratings(visits, "user", "item"), "user", "item")
+    return implicit_ratings(visits, "user", "item")
+
+
+def bp_ratings(logs: DataFrame) -> DataFrame:
+    """The clicks with integer ids."""
+    return numeric_ids(clicks(logs), "user", "item")
 
 
 def bp_tag(logs: DataFrame, rules: DataFrame | None = None, n: int = 5, seed: int = 1) -> DataFrame:
-    """Preferred products: the ``n`` best items by implicit feedback, as a list of item ids."""
-    return items_as_csv(top_items(fit_als(bp_ratings(logs), implicit=True, seed=seed), n))
+    """Preferred products: the ``n`` best items by implicit feedback, as a list of item ids.
+
+    ALS takes 32-bit ids. When larger ones occur, all ids are numbered first and put back at the end.
+    """
+    rated = clicks(logs)
+    if not has_long_ids(rated, "user", "item"):
+        return items_as_csv(top_items(fit_als(numeric_ids(rated, "user", "item"), implicit=True, seed=seed), n))
+    ratings, users, items = number_ids(rated, "user", "item")
+    return items_as_csv(restore_ids(top_items(fit_als(ratings, implicit=True, seed=seed), n), users, items))

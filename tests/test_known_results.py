@@ -175,6 +175,18 @@ def test_recommendations_as_csv(spark):
     assert df.select(struct_field_csv(F.col("r"), "productId")).first()[0] == "10935,6603,9371,6393,6395"
 
 
+@pytest.mark.parametrize("offset", [0, 10**12])
+def test_preferred_products_of_short_and_long_ids(spark, offset):
+    # Two groups of users that visit products 0-9 and 10-19, each user all but its own number.
+    logs = spark.createDataFrame([(str(offset + u), f"http://shop.example/product/{offset + 10 * (u % 2) + i}.html", "t")
+                                  for u in range(20) for i in range(10) for _ in range(3) if i != u // 2] + [("x", None, "t")],
+                                 "global_user_id string, loc_url string, log_time string")
+    found = {int(r["userId"]) - offset: [int(i) - offset for i in r["tagsId"].split(",")] for r in jobs.bp_tag(logs).collect()}
+    assert sorted(found) == list(range(20))
+    for user, items in found.items():
+        assert len(set(items)) == 5 and all(i // 10 == user % 2 for i in items)
+
+
 def test_tag_set(spark):
     rows = [("10", "6"), (" ", "6"), ("5", None), (None, "  "), ("3,3,1", "1,2,"), ("", "7")]
     df = spark.createDataFrame(rows, "a string, b string")
