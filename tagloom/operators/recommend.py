@@ -32,7 +32,7 @@ def has_long_ids(ratings: DataFrame, user: str, item: str) -> bool:
     def too_long(c):
         return F.col(c).try_cast("long").isNotNull() & F.col(c).try_cast("int").isNull()
 
-    return not ratings.where(too_long(user) | too_long(item)).isEmpty()
+    return ratings.agg(F.coalesce(F.some(too_long(user) | too_long(item)), F.lit(False))).first()[0]
 
 
 def number_ids(ratings: DataFrame, user: str, item: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -239,7 +239,7 @@ def bp_tag(logs: DataFrame, rules: DataFrame | None = None, n: int = 5, seed: in
 
     ALS takes 32-bit ids. When larger ones occur, all ids are numbered first and put back at the end.
     """
-    rated = clicks(logs)
+    rated = materialised(clicks(logs))  # read by the id check and by every step of the fit
     if not has_long_ids(rated, "user", "item"):
         return items_as_csv(top_items(fit_als(numeric_ids(rated, "user", "item"), implicit=True, seed=seed), n))
     ratings, users, items = number_ids(rated, "user", "item")
