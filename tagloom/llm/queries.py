@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import packing, pfor, toxicity, wumanber
+from tagloom.llm import fertility, packing, pfor, pii, sharding, toxicity, wumanber
 from tagloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,17 +22,33 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_fertility")
+def op1(spark, sf_dir):
+    return fertility.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op4_decontamination")
 def op4(spark, sf_dir):
     return wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_pii")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 @query("op6_toxicity")
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op7_sharding", sharding.oracle())
+def op7(spark, sf_dir):
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
 @query("op9_packing")
 def op9(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
