@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import fertility, packing, pfor, pii, sharding, toxicity, wumanber
+from tagloom.llm import fertility, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
 from tagloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op7(spark, sf_dir):
     return sharding.place(table(spark, sf_dir, "documents"))
 
 
+@query("op8_lsh_forest")
+def op8(spark, sf_dir):
+    return lshforest.groups(table(spark, sf_dir, "documents"))
+
+
 @query("op9_packing")
 def op9(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
