@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import fertility, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
+from tagloom.llm import ctw, fertility, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
 from tagloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1(spark, sf_dir):
     return fertility.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op3_context_tree")
+def op3(spark, sf_dir):
+    return ctw.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op4_decontamination")
 def op4(spark, sf_dir):
     return wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
