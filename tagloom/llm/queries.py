@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import ctw, fertility, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
+from tagloom.llm import ctw, fertility, licences, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
 from tagloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def op1(spark, sf_dir):
     return fertility.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op2_licences")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return licences.find(docs, licences.fit(docs))
+
+
 @query("op3_context_tree")
 def op3(spark, sf_dir):
     return ctw.scores(table(spark, sf_dir, "documents"))
