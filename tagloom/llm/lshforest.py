@@ -30,15 +30,17 @@ LEAST = 4  # values that candidates share at least
 REACH = 32  # places of the order that are looked at
 FAR_REACH = 64  # places among classes that have neighbours, for pairs of different groups
 SIMILAR_PERCENT = 80
-SKETCH = 64  # values, of four bits each, in the sketch
-SKETCH_LEAST = 37  # values that agree by chance in less than one of a million pairs of similarity 0.8
+# Values of four bits in the sketches that drop unlike pairs, and how many must agree: fewer do in about one of a million pairs
+# of similarity 0.8. The long sketch is for pairs of different groups, where nothing else keeps the pairs few.
+SKETCH, SKETCH_LEAST = 64, 37
+LONG_SKETCH, LONG_LEAST = 384, 274
 
-SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary"
+SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary, long_sketch binary"
 PAIRS = "a long, b long, agree int"
 
 _RANDOM = np.random.default_rng(20240229)
-_FACTORS = (_RANDOM.integers(0, 1 << 31, TREES * DEPTH, dtype=np.uint32) * 2 + 1).astype(np.uint32)
-_TERMS = _RANDOM.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
+_FACTORS = (_RANDOM.integers(0, 1 << 31, LONG_SKETCH, dtype=np.uint32) * 2 + 1).astype(np.uint32)
+_TERMS = _RANDOM.integers(0, 1 << 32, LONG_SKETCH, dtype=np.uint32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -60,33 +62,33 @@ def shingle_set(text: bytes) -> np.ndarray:
 def minima(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over a set that is not empty."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(TREES * DEPTH, 0xFFFFFFFF, np.uint32)
+    out = np.full(LONG_SKETCH, 0xFFFFFFFF, np.uint32)
     # Blocks keep the table of values within the cache.
     for i in range(0, len(x), 512):
         np.minimum(out, (x[i:i + 512, None] * _FACTORS + _TERMS).min(0), out)
     return out
 
 
-def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
-    """Sort keys of all trees, 16 bits a value, and the sketch."""
+def signature(shingles: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Sort keys of all trees, 16 bits a value, and the short and the long sketch."""
     low = minima(shingles)
     mixed = (low ^ (low >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    values = (mixed >> np.uint32(16)).astype(">u2")
-    nibbles = ((mixed[::len(mixed) // SKETCH][:SKETCH] >> np.uint32(12)) & 15).astype(np.uint8)
-    return values.tobytes(), (nibbles[::2] << 4 | nibbles[1::2]).tobytes()
+    nibbles = ((mixed >> np.uint32(12)) & 15).astype(np.uint8)
+    sketch = nibbles[::2] << 4 | nibbles[1::2]
+    return (mixed[:TREES * DEPTH] >> np.uint32(16)).astype(">u2").tobytes(), sketch[-SKETCH // 2:].tobytes(), sketch.tobytes()
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Size, digest and signatures of the set of every whole text; without words the last two are empty."""
+    """Size, digest and signatures of the set of every whole text; without words the last three are empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(SIGNATURES)
         for batch in batches:
             out = []
             for text in byte_strings(batch):
                 shingles = shingle_set(text)
-                keys, sketch = signature(shingles) if len(shingles) else (b"", b"")
-                out.append((len(shingles), hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), keys, sketch))
-            yield batch_of(schema, [batch.column("doc_id"), *([row[k] for row in out] for k in range(4))])
+                signed = signature(shingles) if len(shingles) else (b"", b"", b"")
+                out.append((len(shingles), hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), *signed))
+            yield batch_of(schema, [batch.column("doc_id"), *([row[k] for row in out] for k in range(5))])
 
     return map_batches(identified(docs, id_col, text_col), run, SIGNATURES)
 
@@ -97,7 +99,7 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x & 0xF0) == 0).sum(1) + ((x & 0x0F) == 0).sum(1)
 
 
-def _in_order(batches: Iterator[pa.RecordBatch], reach: int, columns: tuple[str, ...] = ()):
+def _in_order(batches: Iterator[pa.RecordBatch], reach: int, least: int, columns: tuple[str, ...] = ()):
     """Per batch of a tree's order: node and further columns, and a list of the similar pairs of rows by distance.
 
     A pair is ``(i, j, agree)`` with ``i`` in this batch and ``j`` up to ``reach`` places before it, perhaps in an earlier batch.
@@ -108,7 +110,7 @@ def _in_order(batches: Iterator[pa.RecordBatch], reach: int, columns: tuple[str,
         if not rows:
             continue
         key = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u2").reshape(rows, DEPTH)
-        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(rows, SKETCH // 2)
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(rows, -1)
         now = [batch.column("tree").to_numpy(), key, sketch, *(batch.column(c).to_numpy() for c in ("node", *columns))]
         before = 0 if held is None else len(held[0])
         if held is not None:
@@ -123,7 +125,7 @@ def _in_order(batches: Iterator[pa.RecordBatch], reach: int, columns: tuple[str,
             if not len(i):
                 break
             agree = agreement(sketch[i], sketch[j])
-            good = agree >= SKETCH_LEAST
+            good = agree >= least
             pairs.append((i[good], j[good], agree[good]))
         yield before, values, pairs
         held = [x[-reach:] for x in now]
@@ -135,7 +137,7 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> pa.RecordBa
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with its nearest and with its most similar earlier neighbour; other rows with neighbours by themselves."""
-    for _, (node,), pairs in _in_order(batches, REACH):
+    for _, (node,), pairs in _in_order(batches, REACH, SKETCH_LEAST):
         nearest, best, agreed = (np.full(len(node), v, np.int64) for v in (-1, -1, 0))
         near_agreed = agreed.copy()
         for i, j, agree in pairs:
@@ -152,7 +154,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All pairs of rows in reach whose groups differ."""
-    for _, (node, root), pairs in _in_order(batches, FAR_REACH, ("root",)):
+    for _, (node, root), pairs in _in_order(batches, FAR_REACH, LONG_LEAST, ("root",)):
         found = [(i[apart], j[apart], agree[apart]) for i, j, agree in pairs for apart in [root[i] != root[j]]]
         empty = np.zeros(0, np.int64)
         i, j, agree = (np.concatenate(c) for c in zip((empty,) * 3, *found))
@@ -202,8 +204,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _classes(signed: DataFrame) -> DataFrame:
     grouped = signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "keys", "sketch")).alias("first"), F.count("*").alias("n_docs"))
-    return grouped.select("digest", F.col("first.doc_id").alias("node"), "first.keys", "first.sketch", "n_docs")
+        F.min(F.struct("doc_id", "keys", "sketch", "long_sketch")).alias("first"), F.count("*").alias("n_docs"))
+    return grouped.select("digest", F.col("first.doc_id").alias("node"), "first.keys", "first.sketch", "first.long_sketch", "n_docs")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,7 +225,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     roots = components(links).withColumnRenamed("node", "_node")
     # What the neighbours have not joined is looked at once more, pair by pair, among the classes that have neighbours.
     near = classes.join(nodes, "node", "left_semi").join(roots, F.col("node") == F.col("_node"), "left").select(
-        "node", "keys", "sketch", F.coalesce("root", "node").alias("root"))
+        "node", "keys", F.col("long_sketch").alias("sketch"), F.coalesce("root", "node").alias("root"))
     more = materialised(candidates_across(near).join(pairs, ["a", "b"], "left_anti"), "across")
     more = materialised(confirmed(more, sets), "confirmed")
     if more.take(1):
