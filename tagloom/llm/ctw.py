@@ -29,8 +29,8 @@ from tagloom.llm.common import arrow_schema, batch_of, identified, map_batches
 from tagloom.session import materialised
 
 DEPTH = 4  # bytes of the longest context
-CHUNK_BYTES = 16_000_000  # text of a chunk, about
-SLICE_BYTES = 2_000_000  # text whose contexts are sorted at once
+CHUNK_BYTES = 8_000_000  # text of a chunk, about
+SLICE_BYTES = 1_000_000  # text whose contexts are sorted at once
 EDGE = 0xFF  # stands before and behind a text; never a byte of UTF-8
 END = b""  # the end token among the words
 
@@ -129,6 +129,7 @@ def _list_items(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     codes, counts = _merged(found)
     none, schema = len(words), arrow_schema(ITEMS)
     chunk = key[0].as_py()
+    pa.default_memory_pool().release_unused()  # what earlier chunks took
     columns = [pa.array(np.full(len(codes) + none, chunk)), pa.concat_arrays([pa.array(codes), pa.nulls(none, pa.int64())]),
                pa.concat_arrays([pa.nulls(len(codes), pa.binary()), pa.array(list(words), pa.binary())]),
                pa.concat_arrays([pa.array(counts.astype(np.int64)), pa.array(list(words.values()), pa.int64())])]
@@ -239,6 +240,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
 def _score_chunk(n_train: int, n_words: int):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         schema = arrow_schema(SCORES)
+        pa.default_memory_pool().release_unused()
         ids, texts = _table_bytes(docs)
         is_gram = answers.column("gram").is_valid()
         gram = answers.filter(is_gram)
