@@ -12,7 +12,9 @@ multiple of the median deviation, which grows for texts of few words.
 from __future__ import annotations
 
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -31,7 +33,7 @@ WINDOW = 8
 DEVIATIONS = 8.0  # width of a band, in median deviations of a text of LONG_WORDS words or more
 LONG_WORDS = 400
 SLACK = {"chars": 0.2, "fallback": 0.05, "entropy": 0.05}  # least width of a band
-CACHE_WORDS = 600_000  # words known at once; forgotten between batches
+CACHE_WORDS = 1_200_000  # words known at once; forgotten between batches
 
 MEASURES = [f"{name}_{i}" for i in range(len(VOCABULARIES)) for name in ("chars", "fallback", "entropy")]
 SCHEMA = ("doc_id long, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -72,10 +74,17 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+@lru_cache(10_000)
+def script_of_letter(letter: str) -> str:
+    return unicodedata.name(letter, "OTHER").split(" ")[0].split("-")[0]
+
+
 def script_of(word: str) -> str:
     """First word of the Unicode name of the first letter, such as LATIN or CYRILLIC."""
+    if word[0].isalpha():
+        return script_of_letter(word[0])
     letter = next((c for c in word if c.isalpha()), None)
-    return unicodedata.name(letter, "OTHER").split(" ")[0].split("-")[0] if letter else ""
+    return script_of_letter(letter) if letter else ""
 
 
 class Words:
@@ -106,38 +115,39 @@ class Words:
 
     def forget(self):
         self.index: dict[bytes, int] = {}
-        self.chars, self.script = [], []
-        self.tokens = [[] for _ in self.names]
-        self.tables = None
+        self.chars, self.script = array("q"), array("q")
+        # Of every vocabulary: tokens of each word, all tokens in a row, and odd tokens of each word.
+        self.sizes, self.flat, self.odd = ([array(t) for _ in self.names] for t in "qiq")
 
     def number(self, words: list[bytes]) -> np.ndarray:
         """Numbers of the words; new words get the next ones."""
         index = self.index
-        ids = [index.setdefault(w, len(index)) for w in words]
-        return np.array(ids, np.int64)
+        return np.array([index.setdefault(w, len(index)) for w in words], np.int64)
 
     def learn(self):
         """Measure the words that are new since the last call and bring the tables up to date."""
-        new = list(islice(self.index, len(self.chars), None))
-        if self.tables is not None and not new:
-            return
-        texts = [w.decode() for w in new]
-        self.chars += map(len, texts)
-        self.script += [self.scripts.setdefault(script_of(t), len(self.scripts)) for t in texts]
+        texts = [w.decode() for w in islice(self.index, len(self.chars), None)]
         if texts:
-            self.tokens[0] += [np.array(i, np.int32) for i in self.pieces.encode(texts)]
-            self.tokens[1] += [np.frombuffer(self.bytes.pieces[t], "<u4").astype(np.int32) for t in texts]
-        # The first ids of the piece vocabulary are its special ones, then come the 256 bytes.
-        odd = [lambda t: (t >= 3) & (t < 259), lambda t: self.broken[t]]
-        tables = []
-        for tokens, is_odd in zip(self.tokens, odd):
-            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            flat = np.concatenate(tokens) if len(tokens) else np.zeros(0, np.int32)
-            ends = np.cumsum(sizes)
-            odd_before = np.concatenate([[0], np.cumsum(is_odd(flat))])
-            tables.append((sizes, ends - sizes, flat, odd_before[ends] - odd_before[ends - sizes] if len(ends) else sizes))
-        self.tables = tables
-        self.columns = [np.array(c, np.int64) for c in (self.chars, self.script)]
+            self.chars.extend(map(len, texts))
+            self.script.extend([self.scripts.setdefault(script_of(t), len(self.scripts)) for t in texts])
+            pieces = [np.array(i, np.int32) for i in self.pieces.encode(texts, num_threads=1)]
+            byte_tokens = [np.frombuffer(self.bytes.piece(t), "<i4") for t in texts]
+            # The first ids of the piece vocabulary are its special ones, then come the 256 bytes.
+            is_odd = (lambda t: (t >= 3) & (t < 259), lambda t: self.broken[t])
+            for k, tokens in enumerate((pieces, byte_tokens)):
+                sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                flat = np.concatenate(tokens).astype(np.int32)
+                before = np.concatenate([[0], np.cumsum(is_odd[k](flat))]).astype(np.int64)
+                ends = np.cumsum(sizes)
+                self.sizes[k].frombytes(sizes.tobytes())
+                self.flat[k].frombytes(flat.tobytes())
+                self.odd[k].frombytes((before[ends] - before[ends - sizes]).tobytes())
+        self.tables = []
+        for k in range(len(self.names)):
+            # Copies: an array that numpy looks into could not grow.
+            sizes = np.array(self.sizes[k], np.int64)
+            self.tables.append((sizes, np.cumsum(sizes) - sizes, np.array(self.flat[k], np.int32), np.array(self.odd[k], np.int64)))
+        self.columns = [np.array(self.chars, np.int64), np.array(self.script, np.int64)]
 
 
 def entropy_share(flat: np.ndarray, weights: np.ndarray) -> float:

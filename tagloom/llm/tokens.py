@@ -63,8 +63,8 @@ class TokenIds:
         self.lowers = self.tokenizer.normalizer is not None  # the word vocabulary: lower case, no spaces kept
         self.letters = byte_letters()
         self.pretokens = Generations(self._pretoken, limit)
-        self.pieces = Generations(self._piece, limit)
-        self.spaced = Generations(lambda piece: self._piece(" " + piece), limit)
+        self.pieces = Generations(self.piece, limit)
+        self.spaced = Generations(lambda piece: self.piece(" " + piece), limit)
 
     def whole(self, text: str) -> bytes:
         """The library's own result, without any cache."""
@@ -75,7 +75,8 @@ class TokenIds:
         ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece without blanks but for a first one."""
         if not _SIMPLE.match(piece):
             return self.whole(piece)
         words = _BARE_WORDS.findall(piece.lower()) if self.lowers else _SPACED_WORDS.findall(piece)
