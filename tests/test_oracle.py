@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle import connect, difference
+from tagloom.catalogue import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,9 +12,9 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
-    assert difference(queries()[name](spark, sf_dir), con, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
 
 
 def test_entry(spark):
@@ -23,4 +24,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
