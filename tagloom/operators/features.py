@@ -69,11 +69,12 @@ def chi_square(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
     All columns are counted in one pass; from then on only the counted
     (feature, value, label) cells are handled. Empty cells need
-    no row of their own: the statistic is n * (sum of o^2 / (r * c) - 1).
+    no row of their own: the statistic is n * (sum of o^2 / (r * c) - 1). A row with a null value counts for
+    the other features only, one with a null label not at all.
     """
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")) for f in features])
     counted = (df.select(F.explode(cells).alias("c"), F.col(label).cast("string").alias("label"))
-               .groupBy("c.feature", "c.value", "label").agg(F.count("*").alias("o")))
+               .where("c.value is not null and label is not null").groupBy("c.feature", "c.value", "label").agg(F.count("*").alias("o")))
     per_value = counted.groupBy("feature", "value").agg(F.sum("o").alias("r"))
     per_label = (counted.join(per_value, ["feature", "value"]).groupBy("feature", "label")
                  .agg(F.sum(F.col("o") * F.col("o") / F.col("r")).alias("part"), F.sum("o").alias("c")))

@@ -61,8 +61,8 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, right_key: str, how:
     Rows of a hot key get a salt below the key's task count and the matching
     right rows are repeated once per salt, so every pair still meets exactly
     once. ``spread_by`` names the columns that tell the rows of one key apart;
-    without it the salt is the row position, which is stable only when ``left``
-    comes straight from a scan. ``keys_from`` is a cheaper frame to count the
+    without it all columns do. The salt is a function of the row, so a task that
+    runs again deals its rows out as before. ``keys_from`` is a cheaper frame to count the
     keys in, when ``left`` was derived from it.
     """
     if how not in ("inner", "left"):
@@ -73,7 +73,7 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, right_key: str, how:
         return left.join(right, F.col(key) == F.col("_right_key"), how).drop("_right_key")
     # At most HOT_KEYS rows, so always safe to broadcast.
     plan = F.broadcast(local_frame(left.sparkSession, hot, "_h long, _tasks int"))
-    position = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
+    position = F.xxhash64(*(spread_by or [f"`{c}`" for c in left.columns]))
     left = (left.withColumn("_pos", position)
             .join(plan, F.xxhash64(key) == F.col("_h"), "left")
             .withColumn("_salt", F.pmod("_pos", F.coalesce("_tasks", F.lit(1))).cast("int"))

@@ -42,7 +42,7 @@ def match_exact(df: DataFrame, value: str, rules: DataFrame, on_missing: str = "
 
 
 def match_range(df: DataFrame, value: str, bands: DataFrame, spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Add the ``tagsId`` of every band ``[start, end]`` that holds the integer value.
+    """Add the ``tagsId`` of every band ``[start, end]`` that holds the value.
 
     A value in a gap drops its row, overlapping bands give one row each. A few
     bands are compared directly. More are cut into power-of-two cells, at most
@@ -64,8 +64,11 @@ def match_range(df: DataFrame, value: str, bands: DataFrame, spread_by: Sequence
 
 def _join_cells(df: DataFrame, value: str, cells: DataFrame, levels: Sequence[int]) -> DataFrame:
     points = (df.withColumn("level", F.explode(F.array(*[F.lit(level) for level in levels])))
-              .withColumn("cell", F.expr(f"shiftright(CAST({value} AS BIGINT), level)")))
-    return points.join(cells, ["level", "cell"]).drop("level", "cell")
+              .withColumn("cell", F.floor(F.col(value)).cast("long")))
+    points = points.withColumn("cell", F.expr("shiftright(cell, level)"))
+    # A value between two whole numbers has the cell of the lower one, which may be the end of its band.
+    found = points.join(cells, ["level", "cell"]).where(F.col(value).between(F.col("start"), F.col("end")))
+    return found.drop("level", "cell", "start", "end")
 
 
 def band_cells(bands: DataFrame) -> DataFrame:
@@ -73,10 +76,10 @@ def band_cells(bands: DataFrame) -> DataFrame:
     left = "-shiftright(-start, level)"
     right = "shiftright(end + 1, level)"
     spread = bands.where("start <= end").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(CELL_LEVELS))))
-    edges = spread.selectExpr("tagsId", "level", f"{left} AS l", f"{right} AS r").where("l < r")
+    edges = spread.selectExpr("tagsId", "start", "end", "level", f"{left} AS l", f"{right} AS r").where("l < r")
     cells = F.array(F.when(F.pmod("l", F.lit(2)) == 1, F.col("l")),
                     F.when(F.pmod("r", F.lit(2)) == 1, F.col("r") - 1))
-    return (edges.withColumn("cell", F.explode(F.array_compact(cells))).select("tagsId", "level", "cell"))
+    return (edges.withColumn("cell", F.explode(F.array_compact(cells))).select("tagsId", "start", "end", "level", "cell"))
 
 
 def unmatched(df: DataFrame, tagged: DataFrame, key: str = "userId") -> DataFrame:

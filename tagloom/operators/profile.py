@@ -52,8 +52,13 @@ def drop_tags(profile: DataFrame, stale: DataFrame) -> DataFrame:
 
 
 def upsert(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Rows of ``changes`` replace those of the same user, other users are untouched."""
+    """Rows of ``changes`` replace those of the same user, other users are untouched.
+
+    Several changes of one user are one change to the union of their tags.
+    """
     left = current.withColumnRenamed("tagsId", "_old")
-    right = changes.withColumnRenamed("tagsId", "_new").withColumn("_hit", F.lit(True))
+    lists = changes.groupBy("userId").agg(F.max("tagsId").alias("_one"), F.collect_set("tagsId").alias("_all"))
+    union = F.array_join(F.array_sort(F.array_distinct(F.split(F.array_join("_all", ","), ","))), ",")
+    right = lists.select("userId", F.when(F.size("_all") > 1, union).otherwise(F.col("_one")).alias("_new"), F.lit(True).alias("_hit"))
     return left.join(right, "userId", "full").select(
         "userId", F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("_old")).alias("tagsId"))

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from tagloom.functions.texts import struct_field_csv
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import ensure_checkpoint_dir, materialised, shuffle_partitions
+from tagloom.session import ensure_checkpoint_dir, materialised
 
 # Largest factor table that is sent to every executor, and the products one block may hold.
 FACTOR_BYTES = 64 * 1024 * 1024
 BLOCK_CELLS = 8_000_000
+# Ratings of one factor block, and most blocks: a task holds a builder for each pair of blocks.
+BLOCK_RATINGS = 500_000
+MOST_BLOCKS = 64
 
 
 def numeric_ids(ratings: DataFrame, user: str, item: str) -> DataFrame:
@@ -67,7 +70,7 @@ def fit_als(ratings: DataFrame, rank: int = 10, iterations: int = 10, alpha: flo
     """Factor ``(userId, itemId, rating)``; the lineage of the iterations is cut by checkpoints."""
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = shuffle_partitions(spark)
+    blocks = min(MOST_BLOCKS, ratings.count() // BLOCK_RATINGS + 1)  # of the data, so a cluster setting does not change the model
     return ALS(userCol="userId", itemCol="itemId", ratingCol="rating", rank=rank, maxIter=iterations, alpha=alpha,
                regParam=reg, implicitPrefs=implicit, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
                coldStartStrategy="nan").fit(ratings)

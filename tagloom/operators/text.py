@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.texts import tokens
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
-from tagloom.session import materialised, shuffle_partitions, spread
+from tagloom.session import materialised, spread
 
 
 def tokenize(df: DataFrame, text: str, output: str = "tokens") -> DataFrame:
@@ -78,13 +78,17 @@ def count_vectors(df: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def count_vectorizer(df: DataFrame, tokens_column: str, output: str = "counts") -> DataFrame:
-    """Count vectors as sparse ML vectors, for vocabularies the driver can hold."""
-    return CountVectorizer(inputCol=tokens_column, outputCol=output).fit(df).transform(df)
+    """Count vectors as sparse ML vectors over all terms, for vocabularies the driver can hold."""
+    terms = df.select(F.explode(tokens_column).alias("term")).distinct().count()
+    return CountVectorizer(inputCol=tokens_column, outputCol=output, vocabSize=max(1, terms)).fit(df).transform(df)
 
 
 def word_vectors(df: DataFrame, tokens_column: str, size: int = 3, min_count: int = 0, seed: int = 1,
-                 output: str = "vector") -> DataFrame:
-    """Mean word embedding of each document, trained over as many partitions as a shuffle has."""
+                 output: str = "vector", partitions: int = 8, sentence_length: int = 1000) -> DataFrame:
+    """Mean word embedding of each document; texts beyond ``sentence_length`` words are trained in pieces of that length.
+
+    The number of training partitions is part of the model, so it is a parameter and not a cluster setting.
+    """
     model = Word2Vec(inputCol=tokens_column, outputCol=output, vectorSize=size, minCount=min_count, seed=seed,
-                     numPartitions=shuffle_partitions(df.sparkSession)).fit(spread(df))
+                     numPartitions=partitions, maxSentenceLength=sentence_length).fit(spread(df))
     return model.transform(df)

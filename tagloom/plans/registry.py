@@ -13,14 +13,15 @@ from tagloom.plans.template import TagJob
 
 @dataclass(frozen=True)
 class JobOptions:
-    """Day recency is counted from, days to shift it back, folder for fitted models, and the orders table that
-    the shopping gender needs beside its goods."""
+    """Day recency is counted from, days to shift it back, folder for fitted models, the orders table that the
+    shopping gender needs beside its goods, and what becomes of a value without a rule."""
 
     as_of: str
     shift_days: int = 0
     model_root: str | None = None
     refresh: bool = False
     orders: Callable[[], DataFrame] | None = None
+    on_missing: str = "error"
 
     def model(self, name: str) -> dict:
         path = f"{self.model_root.rstrip('/')}/{name}" if self.model_root else None
@@ -31,8 +32,8 @@ class JobOptions:
 GENDER, JOB, AGE, CYCLE, PAYMENT, RFM, RFE, PSM, USG, BP = 4, 7, 14, 23, 29, 37, 45, 50, 56, 60
 
 _JOBS: dict[int, Callable[[JobOptions], Callable[[DataFrame, DataFrame], DataFrame]]] = {
-    GENDER: lambda o: lambda source, rules: tags.exact_tag(source, rules, "gender"),
-    JOB: lambda o: lambda source, rules: tags.exact_tag(source, rules, "job"),
+    GENDER: lambda o: lambda source, rules: tags.exact_tag(source, rules, "gender", on_missing=o.on_missing),
+    JOB: lambda o: lambda source, rules: tags.exact_tag(source, rules, "job", on_missing=o.on_missing),
     AGE: lambda o: lambda source, rules: tags.age_tag(source, rules),
     CYCLE: lambda o: lambda source, rules: tags.cycle_tag(source, rules, o.as_of, o.shift_days),
     PAYMENT: lambda o: lambda source, rules: tags.payment_tag(source, rules),

@@ -31,7 +31,9 @@ from tagloom.sources.stores import stored_centres
 
 
 def _tagged(df: DataFrame, user: str) -> DataFrame:
-    return df.select(F.col(user).cast("string").alias("userId"), F.col("tagsId").cast("string").alias("tagsId"))
+    """Tags by user; rows without a user tag nobody."""
+    return df.where(F.col(user).isNotNull()).select(F.col(user).cast("string").alias("userId"),
+                                                    F.col("tagsId").cast("string").alias("tagsId"))
 
 
 # --- rule match -------------------------------------------------------------------------------------------------
@@ -53,7 +55,7 @@ def age_tag(users: DataFrame, rules: DataFrame, user: str = "id", birthday: str
 
 def recency(orders: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
     """``(memberId, days)`` since the last order."""
-    times = orders.select("memberId", F.col("finishTime").cast("long").alias("finishTime"))
+    times = orders.select("memberId", F.col("finishTime").try_cast("long").alias("finishTime"))
     last = last_event(times, "memberId", "finishTime")
     return last.select("memberId", days_since(epoch_to_timestamp(F.col("last_time")), as_of, shift_days).alias("days"))
 
@@ -75,14 +77,14 @@ def payment_tag(orders: DataFrame, rules: DataFrame, default: str = "other") ->
 # --- clustering -------------------------------------------------------------------------------------------------
 
 def rfm_features(orders: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
-    typed = orders.select("memberId", "orderSn", F.col("orderAmount").cast("double").alias("orderAmount"),
-                          F.col("finishTime").cast("long").alias("finishTime"))
+    typed = orders.select("memberId", "orderSn", F.col("orderAmount").try_cast("double").alias("orderAmount"),
+                          F.col("finishTime").try_cast("long").alias("finishTime"))
     return (rfm(typed, "memberId", "orderSn", "orderAmount", "finishTime", as_of, shift_days)
             .withColumnRenamed("memberId", "userId"))
 
 
 def rfe_features(logs: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
-    typed = logs.select("global_user_id", "loc_url", F.col("log_time").cast("timestamp_ntz").alias("log_time"))
+    typed = logs.select("global_user_id", "loc_url", F.col("log_time").try_cast("timestamp_ntz").alias("log_time"))
     return (rfe(typed, "global_user_id", "loc_url", "log_time", as_of, shift_days)
             .withColumnRenamed("global_user_id", "userId"))
 
@@ -95,8 +97,8 @@ def score(features: DataFrame, bins: Mapping[str, Bins]) -> DataFrame:
 def psm_features(orders: DataFrame, zero_discount: str = "drop") -> DataFrame:
     """``(userId, psm)``. A user without discounted order has none and is dropped, or counts as least
     sensitive (0) with ``zero_discount='least_sensitive'``."""
-    typed = orders.select("memberId", F.col("orderAmount").cast("double").alias("orderAmount"),
-                          F.col("couponCodeValue").cast("double").alias("couponCodeValue"))
+    typed = orders.select("memberId", F.col("orderAmount").try_cast("double").alias("orderAmount"),
+                          F.col("couponCodeValue").try_cast("double").alias("couponCodeValue"))
     totals = discount_totals(typed, "memberId", "orderAmount", "couponCodeValue")
     psm = totals.select(F.col("memberId").alias("userId"), price_sensitivity(
         F.col("tdon"), F.col("ton"), F.col("tda"), F.col("tra")).alias("psm"))
@@ -143,12 +145,12 @@ def rfe_tag(logs: DataFrame, rules: DataFrame, as_of: str, shift_days: int = 0,
     return cluster_tag(score(rfe_features(logs, as_of, shift_days), bins), list(bins), rules, seed=seed, **clustering)
 
 
-def psm_tag(orders: DataFrame, rules: DataFrame, zero_discount: str = "drop", **clustering) -> DataFrame:
+def psm_tag(orders: DataFrame, rules: DataFrame, zero_discount: str = "drop", seed: int = 100, **clustering) -> DataFrame:
     """Price sensitivity."""
-    return cluster_tag(psm_features(orders, zero_discount), ["psm"], rules, **clustering)
+    return cluster_tag(psm_features(orders, zero_discount), ["psm"], rules, seed=seed, **clustering)
 
 
-def psm_cluster_count(orders: DataFrame, ks: Sequence[int] = range(2, 10), seed: int = 200) -> int:
+def psm_cluster_count(orders: DataFrame, ks: Sequence[int] = range(2, 10), seed: int = 100) -> int:
     """Number of price-sensitivity groups suggested by the elbow of the error."""
     return select_k(elbow(psm_features(orders), ["psm"], ks, seed))
 

@@ -1,18 +1,33 @@
 """Run tag jobs.
 
-``spark-submit tagloom/run.py --tag 23 29 --as-of 2019-08-31 --tags TAGS --sources FOLDER --profile FOLDER``
+``python -m tagloom.run --tag 23 29 --as-of 2019-08-31 --tags TAGS --sources FOLDER --profile FOLDER``, or
+``spark-submit tagloom/run.py`` with the same arguments. Off local mode the package is sent to the executors.
 """
 
 from __future__ import annotations
 
 import argparse
+import shutil
+import sys
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from tagloom.plans.registry import JobOptions, job
-from tagloom.plans.template import parquet_source, run_jobs
-from tagloom.sources.readers import read_fields, read_tags
-from tagloom.sources.stores import ProfileStore
+ROOT = Path(__file__).resolve().parents[1]
+if not __package__:  # run as a script: its own folder is on the path, not the package's
+    sys.path.insert(0, str(ROOT))
+
+from tagloom.plans.registry import JobOptions, job  # noqa: E402
+from tagloom.plans.template import parquet_source, run_jobs  # noqa: E402
+from tagloom.sources.readers import read_fields, read_tags  # noqa: E402
+from tagloom.sources.stores import ProfileStore  # noqa: E402
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, which start in folders of their own."""
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='tagloom-')}/tagloom", "zip", ROOT, "tagloom")
+    spark.sparkContext.addPyFile(archive)
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -27,13 +42,16 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     parser.add_argument("--orders-table", default="tbl_orders", help="orders table of the shopping gender")
     parser.add_argument("--refresh", action="store_true", help="fit models anew")
     parser.add_argument("--replace-siblings", action="store_true", help="take away this job's earlier tags")
+    parser.add_argument("--on-missing", choices=["error", "drop"], default="error", help="what to do with a value without a rule")
     args = parser.parse_args(arguments)
-    spark = spark or SparkSession.builder.appName("tags").getOrCreate()
+    if spark is None:
+        spark = SparkSession.builder.appName("tags").getOrCreate()
+        ship(spark)
 
     def orders():
         return read_fields(spark, f"{args.sources.rstrip('/')}/{args.orders_table}.parquet", ["memberId", "orderSn"], as_text=False)
 
-    options = JobOptions(args.as_of, args.shift_days, args.models, args.refresh, orders)
+    options = JobOptions(args.as_of, args.shift_days, args.models, args.refresh, orders, args.on_missing)
     run_jobs([job(tag, options) for tag in args.tag], read_tags(spark, args.tags), parquet_source(spark, args.sources),
              ProfileStore(spark, args.profile), args.replace_siblings)
 
