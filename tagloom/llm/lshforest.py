@@ -31,11 +31,13 @@ REACH = 32  # places of the order that are looked at
 FAR_REACH = 64  # places among classes that have neighbours, for pairs of different groups
 SIMILAR_PERCENT = 80
 # Values of four bits in the sketches that drop unlike pairs, and how many must agree: fewer do in about one of a million pairs
-# of similarity 0.8. The long sketch is for pairs of different groups, where nothing else keeps the pairs few.
+# of similarity 0.8. The long sketch is for pairs of different groups, where nothing else keeps the pairs few; only classes
+# that have neighbours get one.
 SKETCH, SKETCH_LEAST = 64, 37
-LONG_SKETCH, LONG_LEAST = 384, 274
+LONG_SKETCH, LONG_LEAST = 768, 571
 
-SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary, long_sketch binary"
+SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary"
+SETS = "node long, shingles array<long>, long_sketch binary"
 PAIRS = "a long, b long, agree int"
 
 _RANDOM = np.random.default_rng(20240229)
@@ -59,36 +61,39 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(h * _MIX)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each hash function over a set that is not empty."""
+def minima(shingles: np.ndarray, functions: int) -> np.ndarray:
+    """The smallest value of each hash function over a set that is not empty, mixed."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(LONG_SKETCH, 0xFFFFFFFF, np.uint32)
+    low = np.full(functions, 0xFFFFFFFF, np.uint32)
     # Blocks keep the table of values within the cache.
     for i in range(0, len(x), 512):
-        np.minimum(out, (x[i:i + 512, None] * _FACTORS + _TERMS).min(0), out)
-    return out
+        np.minimum(low, (x[i:i + 512, None] * _FACTORS[:functions] + _TERMS[:functions]).min(0), low)
+    return (low ^ (low >> np.uint32(15))) * np.uint32(0x85EBCA6B)
 
 
-def signature(shingles: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """Sort keys of all trees, 16 bits a value, and the short and the long sketch."""
-    low = minima(shingles)
-    mixed = (low ^ (low >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    nibbles = ((mixed >> np.uint32(12)) & 15).astype(np.uint8)
-    sketch = nibbles[::2] << 4 | nibbles[1::2]
-    return (mixed[:TREES * DEPTH] >> np.uint32(16)).astype(">u2").tobytes(), sketch[-SKETCH // 2:].tobytes(), sketch.tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """Four bits of every value, two values a byte."""
+    nibbles = ((values >> np.uint32(12)) & 15).astype(np.uint8)
+    return (nibbles[::2] << 4 | nibbles[1::2]).tobytes()
+
+
+def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """Sort keys of all trees, 16 bits a value, and the short sketch."""
+    values = minima(shingles, TREES * DEPTH + SKETCH)
+    return (values[:TREES * DEPTH] >> np.uint32(16)).astype(">u2").tobytes(), packed(values[TREES * DEPTH:])
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Size, digest and signatures of the set of every whole text; without words the last three are empty."""
+    """Size, digest and signature of the set of every whole text; without words the last two are empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(SIGNATURES)
         for batch in batches:
             out = []
             for text in byte_strings(batch):
                 shingles = shingle_set(text)
-                signed = signature(shingles) if len(shingles) else (b"", b"", b"")
+                signed = signature(shingles) if len(shingles) else (b"", b"")
                 out.append((len(shingles), hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), *signed))
-            yield batch_of(schema, [batch.column("doc_id"), *([row[k] for row in out] for k in range(5))])
+            yield batch_of(schema, [batch.column("doc_id"), *([row[k] for row in out] for k in range(4))])
 
     return map_batches(identified(docs, id_col, text_col), run, SIGNATURES)
 
@@ -183,14 +188,16 @@ def candidates_across(classes: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the documents whose id is in ``nodes``."""
+    """Sets and long sketches of the documents whose id is in ``nodes``, which have words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("node long, shingles array<long>")
+        schema = arrow_schema(SETS)
         for batch in batches:
-            yield batch_of(schema, [batch.column("doc_id"), [shingle_set(t).view(np.int64) for t in byte_strings(batch)]])
+            found = [shingle_set(t) for t in byte_strings(batch)]
+            sketches = [packed(minima(x, LONG_SKETCH)) for x in found]
+            yield batch_of(schema, [batch.column("doc_id"), [x.view(np.int64) for x in found], sketches])
 
     wanted = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return map_batches(wanted.select("doc_id", "text"), run, "node long, shingles array<long>")
+    return map_batches(wanted.select("doc_id", "text"), run, SETS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -204,8 +211,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _classes(signed: DataFrame) -> DataFrame:
     grouped = signed.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "keys", "sketch", "long_sketch")).alias("first"), F.count("*").alias("n_docs"))
-    return grouped.select("digest", F.col("first.doc_id").alias("node"), "first.keys", "first.sketch", "first.long_sketch", "n_docs")
+        F.min(F.struct("doc_id", "keys", "sketch")).alias("first"), F.count("*").alias("n_docs"))
+    return grouped.select("digest", F.col("first.doc_id").alias("node"), "first.keys", "first.sketch", "n_docs")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,12 +231,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     links = materialised(confirmed(pairs.where("a < b"), sets), "confirmed")
     roots = components(links).withColumnRenamed("node", "_node")
     # What the neighbours have not joined is looked at once more, pair by pair, among the classes that have neighbours.
-    near = classes.join(nodes, "node", "left_semi").join(roots, F.col("node") == F.col("_node"), "left").select(
-        "node", "keys", F.col("long_sketch").alias("sketch"), F.coalesce("root", "node").alias("root"))
+    sketched = sets.select("node", F.col("long_sketch").alias("sketch"))
+    near = classes.select("node", "keys").join(sketched, "node").join(roots, F.col("node") == F.col("_node"), "left").select(
+        "node", "keys", "sketch", F.coalesce("root", "node").alias("root"))
     more = materialised(candidates_across(near).join(pairs, ["a", "b"], "left_anti"), "across")
     more = materialised(confirmed(more, sets), "confirmed")
     if more.take(1):
-        roots = components(links.unionByName(more)).withColumnRenamed("node", "_node")
+        # The groups so far stand for their links.
+        stars = roots.where("root < _node").select(F.col("root").alias("a"), F.col("_node").alias("b"))
+        roots = components(stars.unionByName(more)).withColumnRenamed("node", "_node")
     # Only classes of several documents or with links say anything beyond the document itself.
     joined = classes.select("digest", "node", "n_docs").join(roots, F.col("node") == F.col("_node"), "left")
     telling = joined.where("n_docs > 1 or root is not null").groupBy(F.col("digest").alias("_digest")).agg(
