@@ -34,7 +34,7 @@ SIMILAR_PERCENT = 80
 # of similarity 0.8. The long sketch is for pairs of different groups, where nothing else keeps the pairs few; only classes
 # that have neighbours get one.
 SKETCH, SKETCH_LEAST = 64, 37
-LONG_SKETCH, LONG_LEAST = 768, 571
+LONG_SKETCH, LONG_LEAST = 1024, 771
 
 SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary"
 SETS = "node long, shingles array<long>, long_sketch binary"
