@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
 from tagloom.session import ensure_checkpoint_dir, materialised
 
-# Largest factor table that is sent to every executor, and the products one block may hold.
+# Largest part of a factor table that is sent to every executor at once, and the products one block may hold.
 FACTOR_BYTES = 64 * 1024 * 1024
 BLOCK_CELLS = 8_000_000
 # Ratings of one factor block, and most blocks: a task holds a builder for each pair of blocks.
@@ -82,49 +84,54 @@ def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def top_items(model: ALSModel, n: int = 5, users: DataFrame | None = None) -> DataFrame:
-    """``(userId, recommendations)`` with the ``n`` best items of all or of the given users."""
-    best = _best_matches(model.userFactors, model.itemFactors, model.rank, n, "userId", "itemId", users)
-    if best is not None:
-        return best
-    return model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
+    """``(userId, recommendations)`` with the ``n`` best items of all or of the given users; the smaller id wins a tie."""
+    return _best_matches(model.userFactors, model.itemFactors, model.rank, n, "userId", "itemId", users)
 
 
 def top_users(model: ALSModel, n: int = 5, items: DataFrame | None = None) -> DataFrame:
-    """``(itemId, recommendations)`` with the ``n`` best users of all or of the given items."""
-    best = _best_matches(model.itemFactors, model.userFactors, model.rank, n, "itemId", "userId", items)
-    if best is not None:
-        return best
-    return model.recommendForAllItems(n) if items is None else model.recommendForItemSubset(items, n)
+    """``(itemId, recommendations)`` with the ``n`` best users of all or of the given items; the smaller id wins a tie."""
+    return _best_matches(model.itemFactors, model.userFactors, model.rank, n, "itemId", "userId", items)
 
 
 def _best_matches(asking: DataFrame, offered: DataFrame, rank: int, n: int, key: str, other: str,
-                  subset: DataFrame | None) -> DataFrame | None:
-    """Best ``n`` offered factors for each asking one, without a shuffle; None when ``offered`` is too large to send.
+                  subset: DataFrame | None) -> DataFrame:
+    """Best ``n`` offered factors for each asking one.
 
-    Each task multiplies a block of asking factors with all offered ones and
-    keeps the ``n`` highest products of every row.
+    The offered factors are dealt into parts that may be sent to every task. One part needs no shuffle. Of several, the
+    best of each part are written before the next one is sent, and a row's lists, ``n`` long each, are merged.
     """
-    count = offered.count()
-    if count * (rank + 1) * 4 > FACTOR_BYTES:
-        return None
+    parts = offered.count() * (rank + 1) * 4 // max(1, FACTOR_BYTES) + 1
     if subset is not None:
         asking = asking.join(subset.select(F.col(key).alias("id")), "id", "left_semi")
-    # Bounded by FACTOR_BYTES just above.
+    if parts == 1:
+        return _best_of_part(asking, offered, rank, n, key, other)[0]
+    found = []
+    for part in range(parts):
+        best, shared = _best_of_part(asking, offered.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part), rank, n, key, other)
+        found.append(materialised(best, "best"))
+        shared.destroy()
+    lists = reduce(DataFrame.unionByName, found).groupBy(key).agg(F.flatten(F.collect_list("recommendations")).alias("_all"))
+    ordered = F.array_sort(F.transform("_all", lambda r: F.struct((-r["rating"]).alias("_down"), r[other].alias(other))))
+    return lists.select(key, F.transform(F.slice(ordered, 1, n), lambda r: F.struct(
+        r[other].alias(other), (-r["_down"]).alias("rating"))).alias("recommendations"))
+
+
+def _best_of_part(asking: DataFrame, offered: DataFrame, rank: int, n: int, key: str, other: str) -> tuple[DataFrame, Broadcast]:
+    """Each task multiplies a block of asking factors with all factors of the part and keeps the highest of every row."""
+    # Bounded by FACTOR_BYTES, about.
     table = offered.orderBy("id").toArrow()
-    spark = asking.sparkSession
-    shared = spark.sparkContext.broadcast((table["id"].combine_chunks().to_numpy(), _matrix(table["features"], rank)))
-    kept = min(n, count)
+    sent = (table["id"].combine_chunks().to_numpy(), _matrix(table["features"], rank))
+    shared = asking.sparkSession.sparkContext.broadcast(sent)
+    kept = min(n, table.num_rows)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, factors = shared.value
         block = max(1, BLOCK_CELLS // max(1, len(ids)))
-        for batch in batches:
+        for batch in batches if kept else ():
             keys, rows = batch.column("id"), _matrix(batch.column("features"), rank)
             for at in range(0, len(rows), block):
                 products = rows[at:at + block] @ factors.T
-                top = np.argpartition(-products, kept - 1, axis=1)[:, :kept]
-                order = np.argsort(-np.take_along_axis(products, top, axis=1), axis=1, kind="stable")
-                top = np.take_along_axis(top, order, axis=1)
+                top = highest(products, kept)
                 pairs = pa.StructArray.from_arrays(
                     [pa.array(ids[top].ravel()), pa.array(np.take_along_axis(products, top, axis=1).ravel())],
                     fields=[pa.field(other, pa.int32()), pa.field("rating", pa.float32())])
@@ -133,7 +140,19 @@ def _best_matches(asking: DataFrame, offered: DataFrame, rank: int, n: int, key:
                     [keys.slice(at, len(top)), pa.ListArray.from_arrays(offsets, pairs)], names=[key, "recommendations"])
 
     schema = f"{key} int, recommendations array<struct<{other}: int, rating: float>>"
-    return asking.select("id", "features").mapInArrow(best, schema)
+    return asking.select("id", "features").mapInArrow(best, schema), shared
+
+
+def highest(values: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the ``n`` highest values of each row, highest first; of equal values the first columns."""
+    top = np.sort(np.argpartition(-values, n - 1, axis=1)[:, :n], axis=1)
+    least = np.take_along_axis(values, top, axis=1).min(axis=1)
+    # Where more values than places equal the last one, the places go to the first of them.
+    for i in np.flatnonzero((values >= least[:, None]).sum(axis=1) > n):
+        above, equal = np.flatnonzero(values[i] > least[i]), np.flatnonzero(values[i] == least[i])
+        top[i] = np.sort(np.concatenate([above, equal[:n - len(above)]]))
+    order = np.argsort(-np.take_along_axis(values, top, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(top, order, axis=1)
 
 
 def _matrix(features: pa.ChunkedArray | pa.Array, rank: int) -> np.ndarray:

@@ -44,11 +44,12 @@ def run_jobs(jobs: Sequence[TagJob], tags: DataFrame, read_source: Callable[[Sou
     the new one.
     """
     new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in jobs])
-    old = store.read()
+    base = store.version()
+    old = store.read(base)
     if replace_siblings:
         own = [child_rules(tags, job.tag_id) for job in jobs]
         old = drop_tags(old, reduce(DataFrame.unionByName, own))
-    return store.replace(merge_all_users(new, old))
+    return store.replace(merge_all_users(new, old), base)
 
 
 def run_job(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame], store: ProfileStore,

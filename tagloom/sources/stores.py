@@ -23,7 +23,9 @@ class ProfileStore:
     """Parquet snapshots of the profile below one folder.
 
     An upsert writes a new snapshot and never touches the one being read; the
-    success marker Spark writes last makes it the current one.
+    success marker Spark writes last makes it the current one. A writer claims
+    the version it writes with an empty file, so of two that start from the same
+    snapshot the second fails instead of losing the first one's rows.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -38,21 +40,39 @@ class ProfileStore:
         found = _marked(self.spark, f"{self.root}/snapshot-*")
         return max((int(name.rsplit("-", 1)[1]) for name in found), default=0)
 
-    def read(self) -> DataFrame:
-        version = self.version()
+    def read(self, version: int | None = None) -> DataFrame:
+        version = self.version() if version is None else version
         if version == 0:
             return local_frame(self.spark, [], PROFILE_SCHEMA)
         return self.spark.read.schema(PROFILE_SCHEMA).parquet(self._snapshot(version))
 
-    def replace(self, profile: DataFrame) -> DataFrame:
-        """Write a whole profile as the next snapshot, in parallel, and return it as read back."""
-        target = self._snapshot(self.version() + 1)
-        profile.select("userId", "tagsId").write.mode("overwrite").parquet(target)
+    def _claim(self, version: int):
+        """Create the claim file of a version, which exactly one writer can; returns what gives it up again."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claim-{version:06d}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if self.version() >= version or not files.createNewFile(path):
+            raise RuntimeError(f"version {version} is written by another job: start anew from the current profile. "
+                               f"If that job died, delete {path.toString()}")
+        return lambda: files.delete(path, False)
+
+    def replace(self, profile: DataFrame, base: int | None = None) -> DataFrame:
+        """Write a whole profile as the next snapshot, in parallel, and return it as read back.
+
+        ``base`` is the version that ``profile`` was made from, by default the current one.
+        """
+        version = (self.version() if base is None else base) + 1
+        give_up = self._claim(version)
+        try:
+            profile.select("userId", "tagsId").write.mode("overwrite").parquet(self._snapshot(version))
+        except BaseException:
+            give_up()
+            raise
         return self.read()
 
     def upsert(self, changes: DataFrame) -> DataFrame:
         """Write the profile with the rows of ``changes`` put in place of those of the same users."""
-        return self.replace(upsert(self.read(), changes) if self.version() else changes)
+        base = self.version()
+        return self.replace(upsert(self.read(base), changes), base)
 
 
 def stored_centres(spark: SparkSession, path: str, k: int, features: Sequence[str],

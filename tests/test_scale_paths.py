@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -172,22 +173,28 @@ def test_best_matches_equal_the_ml_recommendation(spark, monkeypatch):
     some_users = spark.createDataFrame([(1,), (2,), (2,), (999,)], "userId int")
     some_items = spark.createDataFrame([(3,), (4,)], "itemId int")
 
-    def results():
-        frames = (recommend.top_items(model, 5), recommend.top_items(model, 3, some_users), recommend.top_users(model, 100),
-                  recommend.top_users(model, 4, some_items))
+    def listed(*frames):
         return [{r[0]: [(x[0], round(x[1], 4)) for x in r["recommendations"]] for r in f.collect()} for f in frames]
 
+    def results():
+        return listed(recommend.top_items(model, 5), recommend.top_items(model, 3, some_users), recommend.top_users(model, 100),
+                      recommend.top_users(model, 4, some_items))
+
     monkeypatch.setattr(recommend, "BLOCK_CELLS", 100)  # a few rows per block
     found = results()
     plan = recommend.top_items(model, 5)._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Cross" not in plan
-    monkeypatch.setattr(recommend, "FACTOR_BYTES", 0)
-    expected = results()
-    for mine, theirs in zip(found, expected):
-        assert mine.keys() == theirs.keys()
+    monkeypatch.setattr(recommend, "FACTOR_BYTES", 200)  # a few factors at once
+    in_parts = results()
+    assert "Cross" not in recommend.top_items(model, 5)._jdf.queryExecution().toString()
+    expected = listed(model.recommendForAllUsers(5), model.recommendForUserSubset(some_users, 3), model.recommendForAllItems(100),
+                      model.recommendForItemSubset(some_items, 4))
+    for mine, parts, theirs in zip(found, in_parts, expected):
+        assert mine.keys() == theirs.keys() == parts.keys()
         for key, best in mine.items():
-            assert [s for _, s in best] == pytest.approx([s for _, s in theirs[key]], abs=2e-4)
-            assert len({i for i, _ in best}) == len(best)
+            for other in (theirs[key], parts[key]):
+                assert [s for _, s in best] == pytest.approx([s for _, s in other], abs=2e-4)
+            assert len({i for i, _ in best}) == len(best) == len({i for i, _ in parts[key]})
     assert len(found[0]) == 61 and set(found[1]) == {1, 2} and set(found[3]) == {3, 4}
 
 
@@ -199,3 +206,11 @@ def test_plans_have_no_cross_join_and_prune(spark, sf_dir):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in plan
     top = queries()["t5_payment_method"](spark, sf_dir)._jdf.queryExecution().toString()
     assert top.count("WindowGroupLimit") >= 2  # the top-1 is taken on both sides of the shuffle
+
+
+def test_highest_columns_with_ties():
+    rng = np.random.default_rng(7)
+    for n in (1, 3, 6):
+        values = rng.integers(0, 4, (50, 6)).astype(np.float32)
+        expected = [sorted(range(6), key=lambda c: (-row[c], c))[:n] for row in values]
+        assert recommend.highest(values, n).tolist() == expected

@@ -246,3 +246,26 @@ def test_shared_folder_is_required_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_second_writer_of_a_version_fails_and_loses_nothing(spark, tmp_path):
+    root = str(tmp_path / "profile")
+    first, second = ProfileStore(spark, root), ProfileStore(spark, root)
+    row = lambda user, tags: spark.createDataFrame([(user, tags)], "userId string, tagsId string")
+    first.replace(row("1", "a"))
+    base = second.version()
+    first.upsert(row("2", "b"))
+    with pytest.raises(RuntimeError, match="another job"):
+        second.replace(row("3", "c"), base)
+    first._claim(3)  # a writer that is not done yet
+    with pytest.raises(RuntimeError, match="another job"):
+        second.upsert(row("3", "c"))
+    assert sorted(map(tuple, first.read().collect())) == [("1", "a"), ("2", "b")]
+
+
+def test_broken_write_gives_its_version_up(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "profile"))
+    broken = spark.sql("SELECT '1' AS userId, CAST(raise_error('broken') AS STRING) AS tagsId")
+    with pytest.raises(Exception, match="broken"):
+        store.replace(broken)
+    assert store.upsert(spark.createDataFrame([("1", "a")], "userId string, tagsId string")).count() == 1
