@@ -32,18 +32,10 @@ def numeric_ids(ratings: DataFrame, user: str, item: str) -> DataFrame:
     return typed.dropna()
 
 
-def has_long_ids(ratings: DataFrame, user: str, item: str) -> bool:
-    """Whether an id is a whole number that does not fit 32 bits."""
-    def too_long(c):
-        return F.col(c).try_cast("long").isNotNull() & F.col(c).try_cast("int").isNull()
-
-    return ratings.agg(F.coalesce(F.some(too_long(user) | too_long(item)), F.lit(False))).first()[0]
-
-
 def number_ids(ratings: DataFrame, user: str, item: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ratings with numbered ids, and the ``(id, number)`` tables of the users and the items."""
     typed = materialised(ratings.select(
-        F.col(user).try_cast("long").alias("user"), F.col(item).try_cast("long").alias("item"),
+        F.col(user).cast("string").alias("user"), F.col(item).cast("string").alias("item"),
         F.col("rating").cast("double").alias("rating")).dropna())
     tables = []
     for c in ("user", "item"):

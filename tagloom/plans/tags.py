@@ -23,8 +23,7 @@ from tagloom.operators.cluster import Centres, assign, clusters_to_tags, elbow,
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.match import match_exact, match_range
 from tagloom.operators.ordering import top_n_per_group
-from tagloom.operators.recommend import (fit_als, has_long_ids, items_as_csv, number_ids, numeric_ids, restore_ids,
-                                         top_items)
+from tagloom.operators.recommend import fit_als, items_as_csv, number_ids, numeric_ids, restore_ids, top_items
 from tagloom.operators.rules import range_rules
 from tagloom.session import materialised
 from tagloom.sources.stores import stored_centres
@@ -239,10 +238,7 @@ def bp_ratings(logs: DataFrame) -> DataFrame:
 def bp_tag(logs: DataFrame, rules: DataFrame | None = None, n: int = 5, seed: int = 1) -> DataFrame:
     """Preferred products: the ``n`` best items by implicit feedback, as a list of item ids.
 
-    ALS takes 32-bit ids. When larger ones occur, all ids are numbered first and put back at the end.
+    ALS takes 32-bit ids, so all ids, of any size or text, are numbered first and put back at the end.
     """
-    rated = materialised(clicks(logs))  # read by the id check and by every step of the fit
-    if not has_long_ids(rated, "user", "item"):
-        return items_as_csv(top_items(fit_als(numeric_ids(rated, "user", "item"), implicit=True, seed=seed), n))
-    ratings, users, items = number_ids(rated, "user", "item")
+    ratings, users, items = number_ids(clicks(logs), "user", "item")
     return items_as_csv(restore_ids(top_items(fit_als(ratings, implicit=True, seed=seed), n), users, items))
