@@ -35,10 +35,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write rows that several later steps read to the shared folder, as a Parquet table."""
+def materialised(df: DataFrame, name: str = "table", codec: str | None = None) -> DataFrame:
+    """Write rows that several later steps read to the shared folder, as a Parquet table.
+
+    ``codec`` is for wide tables whose size matters more than the time to pack them.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
