@@ -222,7 +222,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
     for depth in range(DEPTH, -1, -1):
         context = F.shiftright("key", 8)
         ordered = below.repartition(context).sortWithinPartitions("key")
-        levels[depth] = materialised(map_batches(ordered, _level(depth == DEPTH), LEVEL), f"level-{depth}")
+        levels[depth] = materialised(map_batches(ordered, _level(depth == DEPTH), LEVEL), f"level-{depth}", "zstd")
         if depth:
             shorter = F.col("key").bitwiseAND((1 << 8 * depth) - 1)
             below = levels[depth].groupBy(shorter.alias("key")).agg(F.sum("n").alias("n"), *(F.sum(f"w{i}").alias(f"w{i}") for i in range(8)))
@@ -279,11 +279,11 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_i
     rows = identified(docs, id_col, text_col)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // chunk_bytes + 1)))
-    items = materialised(dealt.groupBy("chunk").applyInArrow(_list_items, ITEMS), "items")
+    items = materialised(dealt.groupBy("chunk").applyInArrow(_list_items, ITEMS), "items", "zstd")
     of_words = materialised(items.where("word is not null").groupBy("word").agg(F.sum("n_train").alias("n")), "words")
     n_train, n_words = of_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     of_grams = items.where("gram is not null").groupBy(F.col("gram").alias("key")).agg(F.sum("n_train").alias("n"))
-    log_p = materialised(probabilities(materialised(of_grams, "grams")), "log-p")
+    log_p = materialised(probabilities(of_grams), "log-p", "zstd")
     words = items.where("word is not null").select("chunk", "word").join(of_words, "word").select(
         "chunk", F.lit(None).cast("long").alias("gram"), "word", F.lit(None).cast("double").alias("log_p"), "n")
     found = items.where("gram is not null").select("chunk", "gram").join(log_p, F.col("gram") == F.col("key")).select(
