@@ -140,6 +140,18 @@ def _(spark, sf):
     return match_range(prices, "price", bands, ["o_orderkey"]).select("o_orderkey", "tagsId")
 
 
+@query("j3_match_decimals", """
+  SELECT l.o_orderkey, b.p_partkey AS "tagsId" FROM orders l
+  JOIN (SELECT p_partkey, CAST(floor(p_retailprice * p_size * 7) AS BIGINT) AS lo, p_size * 20 AS width FROM part) b
+    ON l.o_totalprice BETWEEN b.lo AND b.lo + b.width""")
+def _(spark, sf):
+    low = F.floor(F.col("p_retailprice") * F.col("p_size") * 7).cast("long")
+    bands = table(spark, sf, "part").select(F.col("p_partkey").alias("tagsId"), low.alias("start"),
+                                            (low + F.col("p_size") * 20).alias("end"))
+    prices = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    return match_range(prices, "price", bands, ["o_orderkey"]).select("o_orderkey", "tagsId")
+
+
 @query("j3_unmatched", f"""
   SELECT o_custkey, days FROM {_DAYS_SQL} d
   WHERE NOT EXISTS (SELECT 1 FROM {_BANDS_SQL} b WHERE days BETWEEN lo AND hi)""")

@@ -9,9 +9,14 @@ from tagloom.catalogue.scalars import PSM_SQL, RFE_SQL, RFM_SQL, SCALED_RFE, SCA
 from tagloom.catalogue.tables import (BRAND_CODES, EVENTS_AS_OF, FEMALE_BRANDS, FEMALE_PART_TYPES, LOGS_SQL, ORDERS_AS_OF,
                                       PART_TYPE_CODES, coupon_source, goods_source, log_source, order_source)
 from tagloom.functions.dates import timestamp_to_epoch
+from tagloom.operators.joins import lookup_join
+from tagloom.operators.match import match_range
+from tagloom.operators.ordering import top_n_per_group
 from tagloom.operators.profile import drop_tags, merge_all_users
+from tagloom.operators.recommend import number_ids
+from tagloom.operators.rules import range_rules
 from tagloom.plans import tags as jobs
-from tagloom.plans.template import TagJob, parquet_source, run_job
+from tagloom.plans.template import TagJob, parquet_source, run_job, run_jobs
 from tagloom.session import local_frame, scratch_path
 from tagloom.sources.readers import TAG_SCHEMA
 from tagloom.sources.stores import ProfileStore
@@ -215,6 +220,19 @@ def _(spark, sf):
                                                      F.size(F.array_distinct(items)).alias("n_distinct"))
 
 
+@query("t12_bp_ratings_long_ids", f"""
+  SELECT CAST(CAST(user_id AS BIGINT) + 3000000000 AS VARCHAR) AS "user", 'AB-' || item AS item, CAST(count(*) AS DOUBLE) AS rating
+  FROM {LOGS_SQL} l WHERE item IS NOT NULL GROUP BY 1, 2""")
+def _(spark, sf):
+    # Users beyond 32 bits and text items are numbered for the fit and named again.
+    counted = jobs.clicks(log_source(spark, sf)).select(
+        (F.col("user").cast("long") + 3_000_000_000).alias("user"), F.concat(F.lit("AB-"), "item").alias("item"), "rating")
+    numbered, users, items = number_ids(counted, "user", "item")
+    named = lookup_join(numbered, users.withColumnRenamed("id", "user"), "userId", "number", "inner", ["itemId"])
+    named = lookup_join(named, items.withColumnRenamed("id", "item"), "itemId", "number", "inner", ["user"])
+    return named.select("user", "item", "rating")
+
+
 ORDER_TAGS = [
     (23, "cycle", "inType=Parquet##hbaseTable=orders##family=detail##selectFields=o_custkey,o_orderdate", 4, 3),
     (29, "payment", "inType=Parquet##hbaseTable=orders##family=detail##selectFields=o_custkey,o_orderpriority", 4, 3),
@@ -245,6 +263,43 @@ def _(spark, sf):
     return run_job(TagJob(29, _payment), tags, read, store)
 
 
+MOST_READ = 3
+EVENT_TAGS = [(60, "products", "inType=Parquet##hbaseTable=events##family=detail##selectFields=user_id,event_type", 4, 3),
+              (61, "visits", "inType=Parquet##hbaseTable=events##family=detail##selectFields=user_id", 4, 3),
+              (62, "1-50", "1-50", 5, 61), (63, "51-9999999", "51-9999999", 5, 61)]
+
+
+def _most_read(source, _):
+    """The most frequent kinds of events of a user, best first."""
+    counted = source.groupBy(F.col("user_id").cast("string").alias("userId"), F.col("event_type").alias("item")).agg(F.count("*").alias("n"))
+    best = top_n_per_group(counted, "userId", [F.desc("n"), F.asc("item")], MOST_READ)
+    ranked = best.groupBy("userId").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "item"))).alias("l"))
+    return ranked.select("userId", F.array_join("l.item", ",").alias("tagsId"))
+
+
+def _visits(source, rules):
+    counted = source.groupBy(F.col("user_id").alias("userId")).agg(F.count("*").alias("n"))
+    return match_range(counted, "n", range_rules(rules), ["userId"]).select(
+        F.col("userId").cast("string").alias("userId"), F.col("tagsId").cast("string").alias("tagsId"))
+
+
+@query("t14_products_apart", f"""
+  WITH counted AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2),
+       ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS place FROM counted)
+  SELECT CAST(t.user_id AS VARCHAR) AS "userId", CASE WHEN t.n <= 50 THEN '62' ELSE '63' END AS "tagsId", p.items AS "productsId"
+  FROM (SELECT user_id, sum(n) AS n FROM counted GROUP BY 1) t
+  JOIN (SELECT user_id, string_agg(event_type, ',' ORDER BY place) AS items FROM ranked WHERE place <= {MOST_READ} GROUP BY 1) p
+    ON t.user_id = p.user_id""")
+def _(spark, sf):
+    # Twice, with the siblings replaced: the lists keep their order and nothing piles up.
+    tags = local_frame(spark, EVENT_TAGS, TAG_SCHEMA)
+    store, products = (ProfileStore(spark, scratch_path(spark, name), keep=2) for name in ("profile", "products"))
+    both = [TagJob(60, _most_read, products=True), TagJob(61, _visits)]
+    for _ in range(2):
+        written = run_jobs(both, tags, parquet_source(spark, sf), store, True, products)
+    return written.join(products.read().withColumnRenamed("tagsId", "productsId"), "userId")
+
+
 @query("t14_profile", union_tags_sql(CYCLE_SQL, PAYMENT_SQL, f"""
   SELECT CAST(c_custkey AS VARCHAR) AS "userId", CAST(r.id AS VARCHAR) AS "tagsId" FROM customer
   JOIN {rules_sql(GENDER_RULES)} ON c_mktsegment = r.rule"""))

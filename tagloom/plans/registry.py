@@ -48,4 +48,4 @@ _JOBS: dict[int, Callable[[JobOptions], Callable[[DataFrame, DataFrame], DataFra
 def job(tag_id: int, options: JobOptions) -> TagJob:
     if tag_id not in _JOBS:
         raise KeyError(f"no job for tag {tag_id}; known: {sorted(_JOBS)}")
-    return TagJob(tag_id, _JOBS[tag_id](options))
+    return TagJob(tag_id, _JOBS[tag_id](options), products=tag_id == BP)

@@ -18,10 +18,14 @@ Compute = Callable[[DataFrame, DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class TagJob:
-    """A tag and the function that turns (source, rules) into ``(userId, tagsId)``."""
+    """A tag and the function that turns (source, rules) into ``(userId, tagsId)``.
+
+    The ``tagsId`` of a job for products is a best-first list of product ids, which are no tags.
+    """
 
     tag_id: int
     compute: Compute
+    products: bool = False
 
 
 def parquet_source(spark: SparkSession, root: str) -> Callable[[SourceSpec], DataFrame]:
@@ -35,23 +39,32 @@ def compute_tags(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec
 
 
 def run_jobs(jobs: Sequence[TagJob], tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame],
-             store: ProfileStore, replace_siblings: bool = False) -> DataFrame:
+             store: ProfileStore, replace_siblings: bool = False, products: ProfileStore | None = None) -> DataFrame:
     """Compute the tags of the jobs, add them to the profile and return the written profile.
 
     All jobs share one merge and one write of the profile. A tag once given
     stays, as in a plain union. With ``replace_siblings`` the jobs' earlier
     tags are taken away first, so a user who moved to another band holds only
-    the new one.
+    the new one. Product lists go to a store of their own, where a user's new
+    list takes the place of the old one and keeps its order.
     """
-    new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in jobs])
+    listing = [job for job in jobs if job.products]
+    if listing and products is None:
+        raise ValueError(f"the products of tag {listing[0].tag_id} need a store of their own")
+    for job in listing:
+        products.upsert(compute_tags(job, tags, read_source))
+    tagging = [job for job in jobs if not job.products]
+    if not tagging:
+        return store.read()
+    new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in tagging])
     base = store.version()
     old = store.read(base)
     if replace_siblings:
-        own = [child_rules(tags, job.tag_id) for job in jobs]
+        own = [child_rules(tags, job.tag_id) for job in tagging]
         old = drop_tags(old, reduce(DataFrame.unionByName, own))
     return store.replace(merge_all_users(new, old), base)
 
 
 def run_job(job: TagJob, tags: DataFrame, read_source: Callable[[SourceSpec], DataFrame], store: ProfileStore,
-            replace_siblings: bool = False) -> DataFrame:
-    return run_jobs([job], tags, read_source, store, replace_siblings)
+            replace_siblings: bool = False, products: ProfileStore | None = None) -> DataFrame:
+    return run_jobs([job], tags, read_source, store, replace_siblings, products)

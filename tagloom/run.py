@@ -38,6 +38,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     parser.add_argument("--tags", required=True, help="Parquet path of the tag table")
     parser.add_argument("--sources", required=True, help="folder of the source tables")
     parser.add_argument("--profile", required=True, help="folder of the profile snapshots")
+    parser.add_argument("--products", help="folder of the product lists; by default products below the profile's")
+    parser.add_argument("--keep", type=int, help="snapshots that stay; without it all do")
     parser.add_argument("--models", help="folder for fitted models; without it they are fitted on every run")
     parser.add_argument("--orders-table", default="tbl_orders", help="orders table of the shopping gender")
     parser.add_argument("--refresh", action="store_true", help="fit models anew")
@@ -53,7 +55,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
 
     options = JobOptions(args.as_of, args.shift_days, args.models, args.refresh, orders, args.on_missing)
     run_jobs([job(tag, options) for tag in args.tag], read_tags(spark, args.tags), parquet_source(spark, args.sources),
-             ProfileStore(spark, args.profile), args.replace_siblings)
+             ProfileStore(spark, args.profile, args.keep), args.replace_siblings,
+             ProfileStore(spark, args.products or f"{args.profile.rstrip('/')}/products", args.keep))
 
 
 if __name__ == "__main__":

@@ -13,6 +13,51 @@ FIELD_SEPARATOR = "\u0001"
 LOG_COLUMNS = ["id", "log_id", "remote_ip", "site_global_ticket", "site_global_session", "global_user_id",
                "cookie_text", "user_agent", "ref_url", "loc_url", "log_time"]
 
+# Columns of the user, order and goods tables, in file order.
+USER_COLUMNS = ["id", "siteid", "avatarimagefileid", "email", "username", "password", "salt", "registertime",
+                "lastlogintime", "lastloginip", "memberrankid", "bigcustomerid", "lastaddressid", "lastpaymentcode",
+                "gender", "birthday", "qq", "job", "mobile", "politicalface", "nationality", "validatecode",
+                "pwderrcount", "source", "marriage", "money", "moneypwd", "isemailverify", "issmsverify",
+                "smsverifycode", "emailverifycode", "verifysendcoupon", "canreceiveemail", "modified", "channelid",
+                "grade_id", "nick_name", "is_blacklist"]
+ORDER_COLUMNS = ["id", "siteid", "istest", "hassync", "isbackend", "isbook", "iscod", "notautoconfirm", "ispackage",
+                 "packageid", "ordersn", "relationordersn", "memberid", "predictid", "memberemail", "addtime",
+                 "synctime", "orderstatus", "paytime", "paymentstatus", "receiptconsignee", "receiptaddress",
+                 "receiptzipcode", "receiptmobile", "productamount", "orderamount", "paidbalance", "giftcardamount",
+                 "paidamount", "shippingamount", "totalesamount", "usedcustomerbalanceamount", "customerid",
+                 "bestshippingtime", "paymentcode", "paybankcode", "paymentname", "consignee", "originregionname",
+                 "originaddress", "province", "city", "region", "street", "markbuilding", "poiid", "poiname",
+                 "regionname", "address", "zipcode", "mobile", "phone", "receiptinfo", "delayshiptime", "remark",
+                 "bankcode", "agent", "confirmtime", "firstconfirmtime", "firstconfirmperson", "finishtime",
+                 "tradesn", "signcode", "source", "sourceordersn", "onedaylimit", "logisticsmanner",
+                 "aftersalemanner", "personmanner", "visitremark", "visittime", "visitperson", "sellpeople",
+                 "sellpeoplemanner", "ordertype", "hasreadtaobaoordercomment", "memberinvoiceid", "taobaogroupid",
+                 "tradetype", "steptradestatus", "steppaidfee", "depositamount", "balanceamount", "autocanceldays",
+                 "isnolimitstockorder", "ccborderreceivedlogid", "ip", "isgiftcardorder", "giftcarddownloadpassword",
+                 "giftcardfindmobile", "autoconfirmnum", "codconfirmperson", "codconfirmtime", "codconfirmremark",
+                 "codconfirmstate", "paymentnoticeurl", "addresslon", "addresslat", "smconfirmstatus",
+                 "smconfirmtime", "smmanualtime", "smmanualremark", "istogether", "isnotconfirm", "tailpaytime",
+                 "points", "modified", "channelid", "isproducedaily", "couponcode", "couponcodevalue", "ckcode"]
+GOODS_COLUMNS = ["id", "siteid", "istest", "hasread", "supportonedaylimit", "orderid", "cordersn", "isbook",
+                 "cpaymentstatus", "cpaytime", "producttype", "productid", "productname", "sku", "price", "number",
+                 "lockednumber", "unlockednumber", "productamount", "balanceamount", "couponamount", "esamount",
+                 "giftcardnumberid", "usedgiftcardamount", "couponlogid", "activityprice", "activityid", "cateid",
+                 "brandid", "netpointid", "shippingfee", "settlementstatus", "receiptorrejecttime", "iswmssku",
+                 "scode", "tscode", "tsshippingtime", "status", "productsn", "invoicenumber", "expressname",
+                 "invoiceexpressnumber", "postman", "postmanphone", "isnotice", "noticetype", "noticeremark",
+                 "noticetime", "shippingtime", "lessordersn", "waitgetlesshippinginfo", "getlesshippingcount",
+                 "outping", "lessshiptime", "closetime", "isreceipt", "ismakereceipt", "receiptnum",
+                 "receiptaddtime", "makereceipttype", "shippingmode", "lasttimeforshippingmode",
+                 "lasteditorforshippingmode", "systemremark", "tongshuaiworkid", "orderpromotionid",
+                 "orderpromotionamount", "externalsalesettingid", "recommendationid", "hassendalertnum",
+                 "isnolimitstockproduct", "hpregisterdate", "hpfaildate", "hpfinishdate", "hpreservationdate",
+                 "shippingopporunity", "istimeoutfree", "itemshareamount", "lessshiptintime", "lessshiptouttime",
+                 "cbsseccode", "points", "modified", "splitflag", "splitrelatecordersn", "channelid", "activityid2",
+                 "pdorderstatus", "omsordersn", "couponcode", "couponcodevalue", "storeid", "storetype", "stocktype",
+                 "o2otype", "brokeragetype", "ogcolor"]
+
+TABLE_COLUMNS = {"users": USER_COLUMNS, "orders": ORDER_COLUMNS, "goods": GOODS_COLUMNS, "logs": LOG_COLUMNS}
+
 
 def read_fields(spark: SparkSession, path: str, fields: Sequence[str], fmt: str = "parquet",
                 as_text: bool = True) -> DataFrame:
@@ -57,6 +102,14 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], stric
     return last.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
 
 
+def load_table(spark: SparkSession, name: str, lines: str, out: str, strict_compat: bool = False) -> DataFrame:
+    """Load the lines of one of ``TABLE_COLUMNS`` into the Parquet table that the jobs read, and return it."""
+    if name not in TABLE_COLUMNS:
+        raise ValueError(f"no table {name!r}; known: {sorted(TABLE_COLUMNS)}")
+    read_delimited(spark, lines, TABLE_COLUMNS[name], strict_compat).write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def read_libsvm(spark: SparkSession, path: str, features: int | None = None) -> DataFrame:
     """``(label double, features vector)``; naming the feature count saves a pass over the data."""
     reader = spark.read.format("libsvm")

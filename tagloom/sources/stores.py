@@ -25,12 +25,17 @@ class ProfileStore:
     An upsert writes a new snapshot and never touches the one being read; the
     success marker Spark writes last makes it the current one. A writer claims
     the version it writes with an empty file, so of two that start from the same
-    snapshot the second fails instead of losing the first one's rows.
+    snapshot the second fails instead of losing the first one's rows. With
+    ``keep`` a write retires all but that many of the newest snapshots; readers
+    of older ones must be done by then, so it should be 2 or more.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep: int | None = None):
+        if keep is not None and keep < 2:
+            raise ValueError("keep must be 2 or more: the next profile is made from the newest snapshot")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     def _snapshot(self, version: int) -> str:
         return f"{self.root}/snapshot-{version:06d}"
@@ -67,8 +72,20 @@ class ProfileStore:
         except BaseException:
             give_up()
             raise
+        self._retire(version)
         return self.read()
 
+    def _retire(self, newest: int):
+        """Delete the snapshots, with their claims, that are ``keep`` or more versions older than the newest."""
+        if self.keep is None:
+            return
+        for name in _marked(self.spark, f"{self.root}/snapshot-*"):
+            version = int(name.rsplit("-", 1)[1])
+            if version <= newest - self.keep:
+                for old in (name, f"claim-{version:06d}"):
+                    path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{old}")
+                    path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def upsert(self, changes: DataFrame) -> DataFrame:
         """Write the profile with the rows of ``changes`` put in place of those of the same users."""
         base = self.version()

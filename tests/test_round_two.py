@@ -4,12 +4,19 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
+from tagloom import load
 from tagloom.operators import match
 from tagloom.operators.features import chi_square
 from tagloom.operators.joins import skew_join
 from tagloom.operators.profile import upsert
 from tagloom.operators.text import count_vectorizer
+from tagloom.plans.registry import BP, CYCLE, JobOptions, job
 from tagloom.plans.tags import cycle_tag, psm_features, rfe_features, rfm_features
+from tagloom.plans.template import TagJob, run_jobs
+from tagloom.sources.readers import TABLE_COLUMNS, TAG_SCHEMA, read_fields
+from tagloom.sources.stores import ProfileStore
 
 ORDERS = [("1", "a", "10.5", "1566979200", "2"), ("1", "b", "", "", "0"), (None, "c", "3", "1566979200", "0"), ("2", "d", "x", "1566979200", "")]
 
@@ -69,3 +76,36 @@ def test_command_starts_from_another_folder(tmp_path):
     script = Path(__file__).resolve().parents[1] / "tagloom" / "run.py"
     done = subprocess.run([sys.executable, str(script), "--help"], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0 and "--on-missing" in done.stdout
+
+
+def test_old_snapshots_are_retired(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "profile"), keep=2)
+    for i in range(4):
+        store.upsert(spark.createDataFrame([("u", str(i))], "userId string, tagsId string"))
+    assert sorted(p.name for p in (tmp_path / "profile").glob("[cs]*")) == ["claim-000003", "claim-000004", "snapshot-000003", "snapshot-000004"]
+    assert store.version() == 4 and store.read().collect()[0].tagsId == "3" and store.read(3).collect()[0].tagsId == "2"
+
+
+def test_products_are_no_tags(spark, tmp_path):
+    assert job(BP, JobOptions("2019-08-31")).products and not job(CYCLE, JobOptions("2019-08-31")).products
+    tags = spark.createDataFrame([(60, "p", "inType=Parquet##hbaseTable=t##family=f##selectFields=userId", 4, 3)], TAG_SCHEMA)
+    lists = spark.createDataFrame([("u", "57,9,24")], "userId string, tagsId string")
+    profile, products = (ProfileStore(spark, str(tmp_path / name)) for name in ("profile", "products"))
+    profile.upsert(spark.createDataFrame([("u", "24")], "userId string, tagsId string"))
+    listing = TagJob(60, lambda source, rules: source, products=True)
+    with pytest.raises(ValueError):
+        run_jobs([listing], tags, lambda spec: lists, profile)
+    for _ in range(2):
+        written = run_jobs([listing], tags, lambda spec: lists, profile, True, products)
+    assert [tuple(r) for r in written.collect()] == [("u", "24")]
+    assert [tuple(r) for r in products.read().collect()] == [("u", "57,9,24")]
+
+
+def test_tables_are_loaded_from_text(spark, tmp_path):
+    assert [len(TABLE_COLUMNS[t]) == len(set(TABLE_COLUMNS[t])) for t in sorted(TABLE_COLUMNS)] == [True] * 4
+    width = len(TABLE_COLUMNS["orders"])
+    lines = ["\x01".join(f"{key}{i}" if i else key for i in range(n)) for key, n in (("a", width), ("b", width - 1), ("c", width - 2), ("a", width))]
+    (tmp_path / "lines").write_text("\n".join(lines))
+    load.main(["--table", "orders", "--lines", str(tmp_path / "lines"), "--out", str(tmp_path / "t.parquet")], spark)
+    found = {r["id"]: r for r in read_fields(spark, str(tmp_path / "t.parquet"), ["id", "siteid", "memberId", "ckcode"]).collect()}
+    assert set(found) == {"a", "b"} and found["a"]["memberId"] == "a12" and found["b"]["ckcode"] == "" and found["a"]["ckcode"] == f"a{width - 1}"
