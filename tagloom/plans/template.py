@@ -54,11 +54,12 @@ def run_jobs(jobs: Sequence[TagJob], tags: DataFrame, read_source: Callable[[Sou
     for job in listing:
         products.upsert(compute_tags(job, tags, read_source))
     tagging = [job for job in jobs if not job.products]
-    if not tagging:
-        return store.read()
-    new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in tagging])
     base = store.version()
     old = store.read(base)
+    if not tagging:
+        # Every run leaves a snapshot, so the versions count the runs.
+        return store.replace(old, base)
+    new = reduce(DataFrame.unionByName, [compute_tags(job, tags, read_source) for job in tagging])
     if replace_siblings:
         own = [child_rules(tags, job.tag_id) for job in tagging]
         old = drop_tags(old, reduce(DataFrame.unionByName, own))
