@@ -6,7 +6,9 @@ tree: a row of min-hash values. Each tree is the classes in the order of their
 signatures; classes that share the longest beginnings lie next to each other, so
 a scan over the order finds candidates, and how many values they must share
 follows from how crowded the region is. A sketch of all values drops pairs that
-cannot be similar; every link is confirmed on the full sets.
+cannot be similar; every link is confirmed on the full sets. Where more classes
+share a beginning than the scan looks back on, their full sets are compared pair
+by pair, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches
-from tagloom.llm.components import components
-from tagloom.operators.joins import skew_join
+from tagloom.llm.components import components, contracted
+from tagloom.operators.joins import lookup_join, skew_join
 from tagloom.session import materialised
 
 TREES = 24
@@ -35,10 +37,14 @@ SIMILAR_PERCENT = 80
 # that have neighbours get one.
 SKETCH, SKETCH_LEAST = 64, 37
 LONG_SKETCH, LONG_LEAST = 1024, 771
+# Rows and shingles of a side of a block of full comparisons, and the rows a shingle must be in to be a column of its matrix.
+BLOCK_ROWS, BLOCK_SHINGLES, COLUMN_ROWS = 1000, 500_000, 16
+COLUMNS = 2048  # columns multiplied at once
 
 SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary"
 SETS = "node long, shingles array<long>, long_sketch binary"
 PAIRS = "a long, b long, agree int"
+LINKS = "a long, b long"
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 31, LONG_SKETCH, dtype=np.uint32) * 2 + 1).astype(np.uint32)
@@ -187,6 +193,93 @@ def candidates_across(classes: DataFrame) -> DataFrame:
     return map_batches(_ordered(classes, "root"), _across, PAIRS).select("a", "b").distinct()
 
 
+def crowded(classes: DataFrame, reach: int = REACH) -> DataFrame:
+    """``(node, region)`` of the classes in a run longer than ``reach`` that is not one group (``root``) already.
+
+    A run is the classes that share the least beginning in one tree; runs with a class in common are of one region, so two
+    classes of one run are compared once, however many runs they share.
+    """
+    trees = classes.select("node", "root", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    # Two runs of one hash only make a region larger.
+    beginning = F.xxhash64("tree", F.substring("keys", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * LEAST)))
+    rows = trees.select("node", "root", beginning.alias("run"))
+    runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("node").alias("head"), F.min("root").alias("low"), F.max("root").alias("high"))
+    runs = materialised(runs.where((F.col("n") > reach) & (F.col("low") < F.col("high"))).select(F.col("run").alias("_run"), "head"), "runs")
+    members = lookup_join(rows, runs, "run", "_run", spread_by=["node"])
+    return components(members.select(F.col("head").alias("a"), F.col("node").alias("b"))).withColumnRenamed("root", "region")
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``."""
+    sizes = np.fromiter(map(len, left + right), np.int64)
+    row, n = np.repeat(np.arange(len(sizes)), sizes), len(left)
+    _, code, times = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    counts = np.zeros((n, len(right)), np.float32)
+    # Shingles of few rows: the entries of one shingle lie together, and every two of them meet at some distance.
+    rare = np.flatnonzero((times[code] > 1) & (times[code] < COLUMN_ROWS))
+    rare = rare[np.argsort(code[rare], kind="stable")]
+    for distance in range(1, COLUMN_ROWS - 1):
+        a, b = rare[:-distance], rare[distance:]
+        pair = (code[a] == code[b]) & (row[a] < n) & (row[b] >= n)
+        np.add.at(counts, (row[a[pair]], row[b[pair]] - n), 1)
+    # The others: products of slices of the table of rows by shingles.
+    column = np.cumsum(times >= COLUMN_ROWS) - 1
+    often = times[code] >= COLUMN_ROWS
+    row, column = row[often], column[code[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        i, j = np.searchsorted(column, [start, start + COLUMNS])
+        held = np.zeros((len(sizes), min(COLUMNS, int(column[-1]) + 1 - start)), np.float32)
+        held[row[i:j], column[i:j] - start] = 1
+        counts += held[:n] @ held[n:].T
+    return counts.astype(np.int64)
+
+
+def _block(block: pa.Table) -> pa.Table:
+    """Links that join all groups with a similar pair in a block; every two rows of different sides are compared."""
+    block = block.sort_by("node")
+    root, chunk = block.column("root").to_numpy(), block.column("chunk").to_numpy()
+    flat = block.column("shingles").combine_chunks()
+    ends = flat.offsets.to_numpy()
+    values = flat.values.to_numpy()
+    sets = [values[i:j] for i, j in zip(ends, ends[1:])]
+    x, y = block.column("x")[0].as_py(), block.column("y")[0].as_py()
+    left, right = np.flatnonzero(chunk == x), np.flatnonzero(chunk == y)
+    out = []
+    if len(left) and len(right):
+        common = common_shingles([sets[i] for i in left], [sets[i] for i in right])
+        sizes = np.fromiter(map(len, sets), np.int64)
+        total = sizes[left][:, None] + sizes[right][None, :]
+        similar = (100 * common >= SIMILAR_PERCENT * (total - common)) & (root[left][:, None] != root[right][None, :])
+        i, j = np.nonzero(similar)
+        out = contracted(list(set(zip(root[left[i]].tolist(), root[right[j]].tolist()))))
+    return pa.Table.from_batches([batch_of(arrow_schema(LINKS), [[a for a, _ in out], [b for _, b in out]])])
+
+
+def links_within(regions: DataFrame, sets: DataFrame, roots: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links between the groups (``roots``) of each region, from all pairs of its full sets whose groups differ.
+
+    The rows of a region are dealt to chunks, and every two chunks are a block; rows of the region's largest group are in
+    chunks of their own, which do not meet each other.
+    """
+    rows = regions.join(sets.select(F.col("node").alias("_set"), "shingles"), F.col("node") == F.col("_set")).join(
+        roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left")
+    rows = materialised(rows.select("region", "node", F.coalesce("root", "node").alias("root"), "shingles"), "regions")
+    share = F.sum(F.size("shingles") / F.lit(float(BLOCK_SHINGLES)) + F.lit(1.0 / block_rows))
+    of_root = rows.groupBy("region", "root").agg(share.alias("share"), F.count("*").alias("n"))
+    sides = of_root.groupBy("region").agg(F.max(F.struct("n", "root", "share")).alias("main"), F.sum("share").alias("share"))
+    chunks = materialised(sides.select(F.col("region").alias("_region"), F.col("main.root").alias("main"), F.ceil("main.share").alias("n_main"),
+                                       F.ceil(F.col("share") - F.col("main.share") + F.lit(1e-6)).alias("n_other")), "chunks")
+    dealt = lookup_join(rows, chunks, "region", "_region", spread_by=["node"])
+    in_main, at = F.col("root") == F.col("main"), F.xxhash64("node")
+    chunk = F.when(in_main, F.pmod(at, "n_main")).otherwise(F.col("n_main") + F.pmod(at, "n_other"))
+    others = F.sequence(F.when(in_main, F.col("n_main")).otherwise(F.lit(0)), F.col("n_main") + F.col("n_other") - 1)
+    dealt = dealt.withColumn("chunk", chunk).withColumn("other", F.explode(others)).select(
+        "region", "node", "root", "shingles", "chunk", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"))
+    return dealt.groupBy("region", "x", "y").applyInArrow(_block, LINKS)
+
+
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Sets and long sketches of the documents whose id is in ``nodes``, which have words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,6 +308,14 @@ def _classes(signed: DataFrame) -> DataFrame:
     return grouped.select("digest", F.col("first.doc_id").alias("node"), "first.keys", "first.sketch", "n_docs")
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups with further links; the groups so far stand for their links."""
+    if not links.take(1):
+        return roots
+    stars = roots.where("root < node").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return components(stars.unionByName(links.select("a", "b")))
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: size of its set, the smallest id of its group, and whether it is that document.
 
@@ -229,17 +330,24 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     nodes = materialised(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     sets = materialised(sets_of(rows, nodes), "sets")
     links = materialised(confirmed(pairs.where("a < b"), sets), "confirmed")
-    roots = components(links).withColumnRenamed("node", "_node")
+    roots = components(links)
+    # Where the neighbours in reach are not all, the groups they have not joined are compared in full.
+    rooted = classes.select(F.col("node").alias("_node"), "keys").join(roots, F.col("node") == F.col("_node"), "left").select(
+        F.col("_node").alias("node"), "keys", F.coalesce("root", "_node").alias("root"))
+    regions = materialised(crowded(rooted), "regions")
+    if regions.take(1):
+        further = materialised(sets_of(rows, regions.select("node").join(nodes, "node", "left_anti")), "sets")
+        roots = _joined(roots, materialised(links_within(regions, sets.unionByName(further), roots), "within"))
     # What the neighbours have not joined is looked at once more, pair by pair, among the classes that have neighbours.
     sketched = sets.select("node", F.col("long_sketch").alias("sketch"))
-    near = classes.select("node", "keys").join(sketched, "node").join(roots, F.col("node") == F.col("_node"), "left").select(
+    near = classes.select("node", "keys").join(sketched, "node").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         "node", "keys", "sketch", F.coalesce("root", "node").alias("root"))
-    more = materialised(candidates_across(near).join(pairs, ["a", "b"], "left_anti"), "across")
-    more = materialised(confirmed(more, sets), "confirmed")
-    if more.take(1):
-        # The groups so far stand for their links.
-        stars = roots.where("root < _node").select(F.col("root").alias("a"), F.col("_node").alias("b"))
-        roots = components(stars.unionByName(more)).withColumnRenamed("node", "_node")
+    more = candidates_across(near).join(pairs, ["a", "b"], "left_anti")
+    # Classes of one region have been compared.
+    ends = [regions.select(F.col("node").alias(x), F.col("region").alias(f"region_{x}")) for x in "ab"]
+    more = more.join(ends[0], "a", "left").join(ends[1], "b", "left").where("not coalesce(region_a = region_b, false)").select("a", "b")
+    more = materialised(more, "across")
+    roots = _joined(roots, materialised(confirmed(more, sets), "confirmed")).withColumnRenamed("node", "_node")
     # Only classes of several documents or with links say anything beyond the document itself.
     joined = classes.select("digest", "node", "n_docs").join(roots, F.col("node") == F.col("_node"), "left")
     telling = joined.where("n_docs > 1 or root is not null").groupBy(F.col("digest").alias("_digest")).agg(

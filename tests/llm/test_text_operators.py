@@ -377,6 +377,45 @@ def test_near_duplicates(spark, given):
     assert lshforest.groups(frame(spark, ROWS[:0])).count() == 0
 
 
+def test_near_duplicates_in_a_crowd(spark):
+    """Noisy copies of one text, unlike each other but for a few less noisy ones far apart in the order of ids."""
+    rng, base, rows, less = np.random.default_rng(8), [f"w{i}" for i in range(401)], [], {0, 750, 1500, 2250}
+    for k in range(3000):
+        words = list(base)
+        for i in rng.choice(401, 10 if k in less else 20, replace=False):
+            words[i] = f"n{k}x{i}"
+        rows.append((k, " ".join(words), "en", "a"))
+    sets = [{a + " " + b for a, b in zip(t.split(), t.split()[1:])} for _, t, *_ in rows]
+    times = Counter(x for s in sets for x in s)
+    shared = {x: i for i, x in enumerate(x for x, n in times.items() if n > 1)}
+    table = np.zeros((len(sets), len(shared)), np.float32)
+    for k, s in enumerate(sets):
+        table[k, [shared[x] for x in s if x in shared]] = 1
+    common, size = table @ table.T, np.array([len(s) for s in sets])
+    linked = np.argwhere(np.triu(100 * common >= 80 * (size[:, None] + size[None, :] - common), 1)).tolist()
+    assert {tuple(p) for p in linked} == set(itertools.combinations(sorted(less), 2))
+    expected = {x: r for r, x in components.contracted([tuple(p) for p in linked])}
+    got = {r.doc_id: r.component_id for r in lshforest.groups(frame(spark, rows)).collect()}
+    assert got == {k: expected.get(k, k) for k in range(len(rows))}
+
+
+def test_blocks_cover_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 1 << 62, 40)) for _ in range(10)] + [np.arange(100 + k % 3, 200 + k % 3) for k in range(40)]
+    sets += [np.unique(np.concatenate([np.arange(1000, 1100), rng.integers(2000, 4000, 30)])) for _ in range(60)]
+    expected = [[len(np.intersect1d(a, b)) for b in sets[20:]] for a in sets[:70]]
+    assert lshforest.common_shingles(sets[:70], sets[20:]).tolist() == expected
+    links = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    roots = spark.createDataFrame([(k, 10) for k in range(10, 30)], "node long, root long")
+    regions = spark.createDataFrame([(k, 0) for k in range(len(sets))], "node long, region long")
+    table = spark.createDataFrame([(k, s.tolist()) for k, s in enumerate(sets)], "node long, shingles array<long>")
+    expected = dict((x, r) for r, x in components.contracted(links))
+    for size in (7, 1000):
+        found = [tuple(r) for r in lshforest.links_within(regions, table, roots, size).collect()]
+        assert dict((x, r) for r, x in components.contracted(found + [(10, k) for k in range(11, 30)])) == expected
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     links = [(i, i + 1) for i in range(200)] + [(int(a), int(b)) for a, b in rng.integers(1000, 1200, (90, 2))] + [(7, 7), (None, 3)]
