@@ -434,6 +434,19 @@ def test_licences(spark, given):
     assert licences.find(frame(spark, ROWS[:0]), model).count() == 0
 
 
+def test_licence_lines_of_the_documents(spark, sf_dir):
+    """Each family's notice as it stands in ``documents``."""
+    given = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    lines = {"All rights reserved.": "proprietary", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit",
+             "Licensed under the Apache License, Version 2.0.": "apache", "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+    expected = Counter()
+    for r in given.select("doc_id", "text").collect():
+        expected.update((r.doc_id, k, lines[x.strip()]) for k, x in enumerate((r.text or "").split("\n")) if x.strip() in lines)
+    assert {family for _, _, family in expected} == set(lines.values())
+    found = Counter((r.doc_id, r.paragraph, r.family) for r in licences.find(given, licences.fit(given)).where("confirmed").collect())
+    assert not expected - found
+
+
 def test_native_plans(spark, sf_dir, given):
     for df in (QUERIES["op7_sharding"](spark, sf_dir), licences.paragraphs(given)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
