@@ -447,6 +447,22 @@ def test_licence_lines_of_the_documents(spark, sf_dir):
     assert not expected - found
 
 
+def test_wrapped_licences(spark, given):
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    narrow = "\n".join("# " + w for w in bsd.split())
+    texts = [(1, gpl, "en", "a"), (2, "some prose here\n\n" + bsd + "\n\nmore", "en", "a"), (3, narrow, "en", "a"),
+             (4, "prose\nReleased under the MIT License.\nprose", "en", "a"), (5, bsd.replace("\n", "\n\n"), "en", "a")]
+    found = licences.find(frame(spark, texts), licences.fit(given)).where("confirmed").collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 0, "gpl"), (2, 2, "bsd"), (3, 0, "bsd"), (4, 1, "mit")]
+    assert licences.breaks(frame(spark, ROWS[:3])).count() == 0
+
+
 def test_native_plans(spark, sf_dir, given):
     for df in (QUERIES["op7_sharding"](spark, sf_dir), licences.paragraphs(given)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
