@@ -153,21 +153,21 @@ def _in_passes(rows: DataFrame, parts: Sequence[DataFrame], window: int) -> Data
         tests = spark.sparkContext.broadcast(_load(part, window))
 
         def run(batches: Iterator[pa.RecordBatch], tests=tests) -> Iterator[pa.RecordBatch]:
-            schema = arrow_schema("doc_id long, key string, spans array<long>, items string")
+            schema = arrow_schema("doc_id long, key string, spans array<long>, items array<string>")
             for batch in batches:
                 out = []
                 for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), byte_strings(batch)):
                     spans, items = tests.value.search(words_of(text))
                     if spans:
-                        out.append((doc_id, key, [x for span in spans for x in span], ",".join(sorted(items))))
+                        out.append((doc_id, key, [x for span in spans for x in span], sorted(items)))
                 yield batch_of(schema, [list(c) for c in zip(*out)] or [[]] * 4)
 
-        hits = materialised(map_batches(keyed, run, "doc_id long, key string, spans array<long>, items string"), "hits")
+        hits = materialised(map_batches(keyed, run, "doc_id long, key string, spans array<long>, items array<string>"), "hits")
         tests.unpersist()
         found = hits if found is None else found.unionByName(hits)
     # Repeated rows of one document find the same spans, so a set of them loses nothing.
     found = found.groupBy("doc_id", "key").agg(F.flatten(F.collect_set("spans")).alias("spans"),
-                                               F.concat_ws(",", F.collect_set("items")).alias("items"))
+                                               F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     joined = keyed.join(found.withColumnsRenamed({"doc_id": "_id", "key": "_key"}),
                         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
 
@@ -177,7 +177,7 @@ def _in_passes(rows: DataFrame, parts: Sequence[DataFrame], window: int) -> Data
             out = []
             for text, spans, items in zip(byte_strings(batch), batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
                 spans = spans or []
-                out.append(verdict(len(words_of(text)), zip(spans[::2], spans[1::2]), {i for i in (items or "").split(",") if i}))
+                out.append(verdict(len(words_of(text)), zip(spans[::2], spans[1::2]), set(items or [])))
             yield batch_of(schema, [batch.column("doc_id"), *([row[k] for row in out] for k in range(5))])
 
     return map_batches(joined.select("doc_id", "text", "spans", "items"), merge, SCHEMA)

@@ -156,6 +156,15 @@ def test_contamination(spark):
     assert wumanber.contamination(frame(spark, rows), empty).where("n_hit > 0").count() == 0
 
 
+def test_contamination_of_odd_item_ids(spark):
+    items = [("a,b", "quick brown fox"), ("", "the lazy dog"), ("b", "river bank today"), (None, "old river")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    expected = sorted((str(r[0]), *brute_contamination(r[1], items)) for r in ROWS[:3])
+    for size in (1 << 20, 20):
+        got = sorted((str(r[0]), *r[1:]) for r in map(tuple, wumanber.contamination(frame(spark, ROWS[:3]), benchmark, pass_bytes=size).collect()))
+        assert got == expected
+
+
 def test_fertility_counts(spark, docs):
     repeated = "a b c d e f g h " * 3 + "\nx y\nx y\n \n"
     rows = [*ROWS, (20, repeated, "en", "a"), (21, "% # " * 30, "en", "a")]
