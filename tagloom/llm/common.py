@@ -33,7 +33,7 @@ def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], It
 
 
 ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
-               "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+               "binary": pa.binary(), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
                "array<string>": pa.list_(pa.string())}
 
 

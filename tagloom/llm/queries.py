@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import ctw, fertility, licences, lshforest, packing, pfor, pii, sharding, toxicity, wumanber
+from tagloom.llm import ctw, divergence, doubling, fertility, licences, lshforest, packing, pfor, pii, sharding, simplex, toxicity, wumanber
 from tagloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,18 @@ def op9(spark, sf_dir):
 @query("op10_token_ids")
 def op10(spark, sf_dir):
     return pfor.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op11_substrings", doubling.ORACLE)
+def op11(spark, sf_dir):
+    return doubling.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op12_divergence", divergence.ORACLE)
+def op12(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroids", simplex.oracle())
+def op13(spark, sf_dir):
+    return simplex.cluster(table(spark, sf_dir, "embeddings"))
