@@ -3,7 +3,8 @@
 Both vocabularies cut a text into pre-tokens before they merge bytes, and both
 always cut it before a single space that is followed by a visible character.
 So a text is split there, pieces met before are looked up, and only new ones
-are encoded. The ids are those of the whole text encoded at once.
+are encoded. The ids are those of the whole text encoded at once: a special
+token's string in a text is that token, and stands between two texts of its own.
 """
 
 from __future__ import annotations
@@ -58,7 +59,8 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary(name))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = {t.content: struct.pack("<I", i) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None  # the word vocabulary: lower case, no spaces kept
         self.letters = byte_letters()
@@ -83,6 +85,12 @@ class TokenIds:
         return b"".join(map(self.pretokens.__getitem__, words))
 
     def __call__(self, text: str) -> bytes:
+        if any(mark in text for mark in self.special):
+            return b"".join(self.special.get(part) or self.plain(part) for part in self.marks.split(text))
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
         if _ODD_SPACE.search(text):
             return b"".join(map(self.pieces.__getitem__, _CUT.split(text)))
         first, *rest = text.split(" ")

@@ -50,9 +50,9 @@ def lower(text):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_token_ids_are_the_librarys(name, given):
     plain = Tokenizer.from_file(vocabulary(name))
-    plain.encode_special_tokens = True
     encode = tokens.TokenIds(name, 500)
-    odd = ["", " ", "  a", "a  ", "\n b", "a\n\n b\n", "x\x1cy \x85z", "İstanbul ΣΑΣ ς é ́x", "don't 'S 12 ½ a1b2"]
+    odd = ["", " ", "  a", "a  ", "\n b", "a\n\n b\n", "x\x1cy \x85z", "İstanbul ΣΑΣ ς é ́x", "don't 'S 12 ½ a1b2",
+           "a <|endoftext|> b", "<|endoftext|>", "a<|startoftext|><|endoftext|>  \n<|ENDOFTEXT|> é<|endoftext|>\u0301x <|endoftext| > \n", " <|startoftext|> a"]
     for text in odd + [r[1] or "" for r in ROWS[:3] + ROWS[4:]] + [r.text for r in given.limit(40).collect()]:
         ids = plain.encode(text, add_special_tokens=False).ids
         assert encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
