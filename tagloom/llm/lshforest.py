@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches
+from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches, unused_name
 from tagloom.llm.components import components, contracted
 from tagloom.operators.joins import lookup_join, skew_join
 from tagloom.session import materialised
@@ -44,6 +44,7 @@ COLUMNS = 2048  # columns multiplied at once
 SIGNATURES = "doc_id long, n_shingles long, digest binary, keys binary, sketch binary"
 SETS = "node long, shingles array<long>, long_sketch binary"
 PAIRS = "a long, b long, agree int"
+SCANNED = PAIRS + ", run long"
 LINKS = "a long, b long"
 
 _RANDOM = np.random.default_rng(20240229)
@@ -110,10 +111,18 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x & 0xF0) == 0).sum(1) + ((x & 0x0F) == 0).sum(1)
 
 
+def run_hashes(tree: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One number for each run, the classes that share a tree's least beginning; two runs of one number only make a region larger."""
+    beginning = np.ascontiguousarray(key[:, :LEAST]).view(">u8").ravel().astype(np.uint64)
+    mixed = (beginning ^ (beginning >> np.uint64(29))) * _MIX + tree.astype(np.uint64) * _MIX2
+    return (mixed ^ (mixed >> np.uint64(31))).view(np.int64)
+
+
 def _in_order(batches: Iterator[pa.RecordBatch], reach: int, least: int, columns: tuple[str, ...] = ()):
-    """Per batch of a tree's order: node and further columns, and a list of the similar pairs of rows by distance.
+    """Per batch of a tree's order: first new row, node and further columns, similar pairs of rows by distance, tree and key.
 
     A pair is ``(i, j, agree)`` with ``i`` in this batch and ``j`` up to ``reach`` places before it, perhaps in an earlier batch.
+    One row more than these is held.
     """
     held = None
     for batch in batches:
@@ -138,8 +147,20 @@ def _in_order(batches: Iterator[pa.RecordBatch], reach: int, least: int, columns
             agree = agreement(sketch[i], sketch[j])
             good = agree >= least
             pairs.append((i[good], j[good], agree[good]))
-        yield before, values, pairs
-        held = [x[-reach:] for x in now]
+        yield before, values, pairs, tree, key
+        held = [x[-reach - 1:] for x in now]
+
+
+def long_runs(number: np.ndarray, before: int, reach: int) -> np.ndarray:
+    """Rows to report as members of runs longer than ``reach``, from the runs' numbers in order, of which ``before`` are old.
+
+    A row that is ``reach`` places behind the run's first one reports all rows so far, later ones report themselves.
+    """
+    at = np.arange(before, len(number))
+    far = at[at >= reach]
+    far = far[number[far] == number[far - reach]]
+    opening = far[(far == reach) | (number[far - reach - 1] != number[far])] if len(far) else far
+    return np.union1d(far, (opening[:, None] - np.arange(reach + 1)).ravel())
 
 
 def _pairs_batch(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
@@ -147,8 +168,12 @@ def _pairs_batch(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> pa.RecordBa
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with its nearest and with its most similar earlier neighbour; other rows with neighbours by themselves."""
-    for _, (node,), pairs in _in_order(batches, REACH, SKETCH_LEAST):
+    """Each row with its nearest and with its most similar earlier neighbour; other rows with neighbours by themselves.
+
+    Rows of runs that the scan does not see whole are reported as well, with the run's number and no pair.
+    """
+    schema, opening, last, last_node = arrow_schema(SCANNED), None, None, None
+    for before, (node,), pairs, tree, key in _in_order(batches, REACH, SKETCH_LEAST):
         nearest, best, agreed = (np.full(len(node), v, np.int64) for v in (-1, -1, 0))
         near_agreed = agreed.copy()
         for i, j, agree in pairs:
@@ -159,50 +184,75 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near, other = np.flatnonzero(nearest >= 0), np.flatnonzero(best != nearest)
         touched = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.concatenate(p[:2]) for p in pairs)])).astype(np.int64)
         alone = np.setdiff1d(touched, np.concatenate([near, nearest[near], other, best[other]]))
-        yield _pairs_batch(node[np.concatenate([near, other, alone])], node[np.concatenate([nearest[near], best[other], alone])],
-                           np.concatenate([near_agreed[near], agreed[other], np.zeros(len(alone), np.int64)]))
+        a, b = node[np.concatenate([near, other, alone])], node[np.concatenate([nearest[near], best[other], alone])]
+        agree = np.concatenate([near_agreed[near], agreed[other], np.zeros(len(alone), np.int64)]).astype(np.int32)
+        yield batch_of(schema, [np.minimum(a, b), np.maximum(a, b), agree, pa.nulls(len(a), pa.int64())])
+        number = run_hashes(tree, key)
+        # The run that a part of the order begins with may go on from the part before, and the one it ends with into the next.
+        opening = number[0] if opening is None else opening
+        seen = np.union1d(long_runs(number, before, REACH), before + np.flatnonzero(number[before:] == opening))
+        yield batch_of(schema, [node[seen], pa.nulls(len(seen), pa.int64()), pa.nulls(len(seen), pa.int32()), number[seen]])
+        last, last_node = number, node
+    if last is not None:
+        # Members further back than the rows held are in a run that was reported as long.
+        seen = np.flatnonzero(last == last[-1])
+        yield batch_of(schema, [last_node[seen], pa.nulls(len(seen), pa.int64()), pa.nulls(len(seen), pa.int32()), last[seen]])
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All pairs of rows in reach whose groups differ."""
-    for _, (node, root), pairs in _in_order(batches, FAR_REACH, LONG_LEAST, ("root",)):
+    for _, (node, root), pairs, *_ in _in_order(batches, FAR_REACH, LONG_LEAST, ("root",)):
         found = [(i[apart], j[apart], agree[apart]) for i, j, agree in pairs for apart in [root[i] != root[j]]]
         empty = np.zeros(0, np.int64)
         i, j, agree = (np.concatenate(c) for c in zip((empty,) * 3, *found))
         yield _pairs_batch(node[i], node[j], agree)
 
 
-def _ordered(classes: DataFrame, *columns: str) -> DataFrame:
-    """A row of every class for every tree, in the order of the tree's signatures."""
+def _trees(classes: DataFrame, *columns: str) -> DataFrame:
+    """A row of every class for every tree."""
     width = 2 * DEPTH
-    trees = classes.select("node", "sketch", "keys", *columns, F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    rows = trees.select("tree", F.substring("keys", F.col("tree") * width + 1, F.lit(width)).alias("key"), "node", "sketch", *columns)
+    trees = classes.select("node", "keys", *columns, F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    return trees.select("tree", F.substring("keys", F.col("tree") * width + 1, F.lit(width)).alias("key"), "node", *columns)
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    """The rows in the order of their trees' signatures."""
     return rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of classes (``node``, ``keys``, ``sketch``) that lie next to each other in some tree.
+def scanned(classes: DataFrame) -> DataFrame:
+    """One scan of all trees of the classes (``node``, ``keys``, ``sketch``): pairs that lie next to each other in some tree, and
+    the members (``a``) of runs that are longer than the scan's reach, or perhaps are, with the run's number."""
+    return map_batches(_ordered(_trees(classes, "sketch")), _neighbours, SCANNED)
 
-    A class that has similar neighbours, but is in no such pair, comes as a pair with itself.
-    """
-    return map_batches(_ordered(classes), _neighbours, PAIRS).groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
+def candidates(scan: DataFrame) -> DataFrame:
+    """Pairs of classes from a scan. A class that has similar neighbours, but is in no such pair, comes as a pair with itself."""
+    return scan.where("run is null").groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
-def candidates_across(classes: DataFrame) -> DataFrame:
-    """All pairs of near classes whose groups so far (``root``) differ."""
-    return map_batches(_ordered(classes, "root"), _across, PAIRS).select("a", "b").distinct()
+
+def candidates_across(classes: DataFrame, sketches: DataFrame) -> DataFrame:
+    """All pairs of near classes (``node``, ``keys``, ``root``) whose groups so far differ.
+
+    Only runs with two groups are scanned, so few sketches are moved.
+    """
+    rows = _trees(classes, "root").withColumn("run", F.xxhash64("tree", F.substring("key", 1, 2 * LEAST)))
+    runs = rows.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = lookup_join(rows, materialised(runs.select(F.col("run").alias("_run")), "runs"), "run", "_run", spread_by=["node"])
+    mixed = mixed.join(sketches.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"))
+    return map_batches(_ordered(mixed.select("tree", "key", "node", "sketch", "root")), _across, PAIRS).select("a", "b").distinct()
 
 
-def crowded(classes: DataFrame, reach: int = REACH) -> DataFrame:
-    """``(node, region)`` of the classes in a run longer than ``reach`` that is not one group (``root``) already.
+def crowded(scan: DataFrame, roots: DataFrame, reach: int = REACH) -> DataFrame:
+    """``(node, region)`` of the classes in a run longer than ``reach`` that is not one group (``roots``) already.
 
     A run is the classes that share the least beginning in one tree; runs with a class in common are of one region, so two
     classes of one run are compared once, however many runs they share.
     """
-    trees = classes.select("node", "root", "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    # Two runs of one hash only make a region larger.
-    beginning = F.xxhash64("tree", F.substring("keys", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * LEAST)))
-    rows = trees.select("node", "root", beginning.alias("run"))
+    members = scan.where("run is not null").select(F.col("a").alias("node"), "run").distinct()
+    rows = members.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node"), "left").select(
+        "node", "run", F.coalesce("root", "node").alias("root"))
+    rows = materialised(rows, "runs")
     runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("node").alias("head"), F.min("root").alias("low"), F.max("root").alias("high"))
     runs = materialised(runs.where((F.col("n") > reach) & (F.col("low") < F.col("high"))).select(F.col("run").alias("_run"), "head"), "runs")
     members = lookup_join(rows, runs, "run", "_run", spread_by=["node"])
@@ -326,23 +376,22 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = identified(docs, id_col, text_col)
     signed = materialised(signatures(rows), "signatures")
     classes = materialised(_classes(signed), "classes")
-    pairs = materialised(candidates(classes.select("node", "keys", "sketch")), "candidates")
+    scan = materialised(scanned(classes.select("node", "keys", "sketch")), "scan")
+    pairs = materialised(candidates(scan), "candidates")
     nodes = materialised(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     sets = materialised(sets_of(rows, nodes), "sets")
     links = materialised(confirmed(pairs.where("a < b"), sets), "confirmed")
     roots = components(links)
     # Where the neighbours in reach are not all, the groups they have not joined are compared in full.
-    rooted = classes.select(F.col("node").alias("_node"), "keys").join(roots, F.col("node") == F.col("_node"), "left").select(
-        F.col("_node").alias("node"), "keys", F.coalesce("root", "_node").alias("root"))
-    regions = materialised(crowded(rooted), "regions")
+    regions = materialised(crowded(scan, roots), "regions")
     if regions.take(1):
         further = materialised(sets_of(rows, regions.select("node").join(nodes, "node", "left_anti")), "sets")
         roots = _joined(roots, materialised(links_within(regions, sets.unionByName(further), roots), "within"))
     # What the neighbours have not joined is looked at once more, pair by pair, among the classes that have neighbours.
     sketched = sets.select("node", F.col("long_sketch").alias("sketch"))
-    near = classes.select("node", "keys").join(sketched, "node").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
-        "node", "keys", "sketch", F.coalesce("root", "node").alias("root"))
-    more = candidates_across(near).join(pairs, ["a", "b"], "left_anti")
+    near = classes.select("node", "keys").join(nodes, "node").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+        "node", "keys", F.coalesce("root", "node").alias("root"))
+    more = candidates_across(near, sketched).join(pairs, ["a", "b"], "left_anti")
     # Classes of one region have been compared.
     ends = [regions.select(F.col("node").alias(x), F.col("region").alias(f"region_{x}")) for x in "ab"]
     more = more.join(ends[0], "a", "left").join(ends[1], "b", "left").where("not coalesce(region_a = region_b, false)").select("a", "b")
@@ -360,12 +409,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one document of each group stays; one row of each id."""
+    own = unused_name(docs, "_gone")
     found = materialised(groups(docs, id_col, text_col), "groups").where("doc_id is not null")
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
-    again = materialised(found.groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"), "again")
+    gone = found.where("not kept").select(F.col("doc_id").alias(own)).distinct()
+    repeated = F.col(f"`{id_col}`").cast("long") == F.col(own)
+    kept = docs.join(gone, repeated, "left_anti")
+    again = materialised(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own)), "again")
     if not again.take(1):
         return kept
-    repeated = F.col(f"`{id_col}`") == F.col("_again")
     once = kept.join(again, repeated, "left_semi").dropDuplicates([id_col])
     return kept.join(again, repeated, "left_anti").unionByName(once)

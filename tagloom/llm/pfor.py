@@ -130,6 +130,12 @@ class Shard:
         return np.concatenate([self.decode(k) for k in range(self.n_blocks)] or [np.zeros(0, np.uint32)])
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark reads it from, so that every task writes to the same one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
         return pafs.FileSystem.from_uri(path)
@@ -143,6 +149,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json"
     ``folder`` must be reachable by all executors. Null ids come first, rows of one id are ordered by text, a null or empty text
     is the end id alone, repeated rows are all written, an empty table writes no file. Further columns are ignored.
     """
+    folder = qualified(docs.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, schema = token_ids(tokenizer), arrow_schema(MANIFEST)
         files, root = open_folder(folder)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches
+from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches, unused_name
 from tagloom.session import materialised
 
 WINDOW = 13
@@ -209,4 +209,5 @@ def _without(docs, benchmark, window, pass_bytes, text_col):
     keyed = texts.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")).agg(F.first("text").alias("text"))
     keyed = materialised(keyed.select(F.monotonically_increasing_id().alias("doc_id"), "key", "text"), "texts")
     bad = contamination(keyed, benchmark, window, pass_bytes).where("contaminated").join(keyed, "doc_id").select("key")
-    return docs.withColumn("_digest", digest).join(bad.withColumnRenamed("key", "_digest"), "_digest", "left_anti").select(*docs.columns)
+    own = unused_name(docs, "_digest")
+    return docs.join(bad.select(F.col("key").alias(own)), digest == F.col(own), "left_anti")

@@ -386,6 +386,32 @@ def test_near_duplicates(spark, given):
     assert lshforest.groups(frame(spark, ROWS[:0])).count() == 0
 
 
+def test_own_column_names_do_not_clash(spark):
+    names = ["_gone", "_again", "_digest", "_GONE_"]
+    docs = spark.createDataFrame([(*r[:2], *"abcd") for r in ROWS], ["doc_id", "text", *names])
+    kept = lshforest.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 3, 4, 5, 8, 9]
+    benchmark = spark.createDataFrame([(1, "lazy dog near the old river bank"), (2, "x y z")], "item_id long, text string")
+    for size in (1 << 20, 10):
+        clean = wumanber.decontaminate(docs, benchmark, pass_bytes=size)
+        assert clean.columns == docs.columns and {tuple(r)[2:] for r in clean.collect()} == {("a", "b", "c", "d")}
+
+
+def test_long_runs_are_reported_whole():
+    rng = np.random.default_rng(14)
+    number = np.repeat(np.arange(60), rng.integers(1, 14, 60))
+    for reach in (1, 3, 5):
+        expected, lengths = set(), np.bincount(number)
+        expected = set(np.flatnonzero(lengths[number] > reach).tolist())
+        for step in (1, 2, 7, 1000):
+            got, begin = set(), 0
+            for start in range(0, len(number), step):
+                held = number[begin:start + step]
+                got |= {int(i) + begin for i in lshforest.long_runs(held, start - begin, reach)}
+                begin = max(0, min(start + step, len(number)) - reach - 1)
+            assert got == expected
+
+
 def test_near_duplicates_in_a_crowd(spark):
     """Noisy copies of one text, unlike each other but for a few less noisy ones far apart in the order of ids."""
     rng, base, rows, less = np.random.default_rng(8), [f"w{i}" for i in range(401)], [], {0, 750, 1500, 2250}
