@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +53,32 @@ def drop_tags(profile: DataFrame, stale: DataFrame) -> DataFrame:
     return collect_tags(marked.select("userId", F.when(F.col("_drop").isNull(), F.col("tag")).alias("tagsId")))
 
 
+def one_change(changes: DataFrame) -> DataFrame:
+    """One row per user; several changes of one user are one change to the union of their tags."""
+    lists = changes.groupBy("userId").agg(F.max("tagsId").alias("_one"), F.collect_set("tagsId").alias("_all"))
+    union = F.array_join(F.array_sort(F.array_distinct(F.split(F.array_join("_all", ","), ","))), ",")
+    return lists.select("userId", F.when(F.size("_all") > 1, union).otherwise(F.col("_one")).alias("tagsId"))
+
+
+def changed_lists(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Old and changed rows (``_new``), one of either kind a user at most, to one row a user: the changed one where there is one."""
+    found = stacked.groupBy(*keys).agg(F.max("_new").alias("_hit"), F.max(F.when(F.col("_new"), F.col("tagsId"))).alias("_after"),
+                                       F.max(F.when(~F.col("_new"), F.col("tagsId"))).alias("_before"))
+    return found.select(*keys, F.when(F.col("_hit"), F.col("_after")).otherwise(F.col("_before")).alias("tagsId"))
+
+
+def united_lists(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Old and new rows, one of either kind a user at most, to one row a user with all their tags, sorted."""
+    lists = stacked.groupBy(*keys).agg(F.max(F.when(F.col("_new"), F.col("tagsId"))).alias("_after"),
+                                       F.max(F.when(~F.col("_new"), F.col("tagsId"))).alias("_before"))
+    return lists.select(*keys, tag_set(F.col("_after"), F.col("_before")).alias("tagsId"))
+
+
 def upsert(current: DataFrame, changes: DataFrame) -> DataFrame:
     """Rows of ``changes`` replace those of the same user, other users are untouched.
 
     Several changes of one user are one change to the union of their tags.
     """
-    left = current.withColumnRenamed("tagsId", "_old")
-    lists = changes.groupBy("userId").agg(F.max("tagsId").alias("_one"), F.collect_set("tagsId").alias("_all"))
-    union = F.array_join(F.array_sort(F.array_distinct(F.split(F.array_join("_all", ","), ","))), ",")
-    right = lists.select("userId", F.when(F.size("_all") > 1, union).otherwise(F.col("_one")).alias("_new"), F.lit(True).alias("_hit"))
-    return left.join(right, "userId", "full").select(
-        "userId", F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("_old")).alias("tagsId"))
+    sides = current.select("userId", "tagsId", F.lit(False).alias("_new")).unionByName(
+        one_change(changes).withColumn("_new", F.lit(True)))
+    return changed_lists(sides, ["userId"])

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from tagloom.functions.scores import RFE_BINS, RFM_BINS
 from tagloom.plans import tags
-from tagloom.plans.template import TagJob
+from tagloom.plans.state import LOGS, ORDERS
+from tagloom.plans.template import FromState, TagJob
 
 
 @dataclass(frozen=True)
@@ -44,8 +46,21 @@ _JOBS: dict[int, Callable[[JobOptions], Callable[[DataFrame, DataFrame], DataFra
     BP: lambda o: lambda source, rules: tags.bp_tag(source, rules),
 }
 
+# What these jobs need of the state of their table, and how they are computed from it.
+_SHARED: dict[int, Callable[[JobOptions], FromState]] = {
+    CYCLE: lambda o: FromState(ORDERS, ("last_time",), lambda state, rules: tags.cycle_of_state(state, rules, o.as_of, o.shift_days)),
+    PAYMENT: lambda o: FromState(ORDERS, ("codes",), tags.payment_of_state, detail=True),
+    RFM: lambda o: FromState(ORDERS, ("last_time", "orders", "amount"), lambda state, rules: tags.cluster_tag(
+        tags.score(tags.rfm_of_state(state, o.as_of, o.shift_days), RFM_BINS), list(RFM_BINS), rules, **o.model("rfm"))),
+    RFE: lambda o: FromState(LOGS, ("last_visit", "views"), lambda state, rules: tags.cluster_tag(
+        tags.score(tags.rfe_of_state(state, o.as_of, o.shift_days), RFE_BINS), list(RFE_BINS), rules, seed=100, **o.model("rfe")), detail=True),
+    PSM: lambda o: FromState(ORDERS, ("tdon", "ton", "tda", "tra"), lambda state, rules: tags.cluster_tag(
+        tags.psm_of_state(state), ["psm"], rules, seed=100, **o.model("psm"))),
+}
+
 
 def job(tag_id: int, options: JobOptions) -> TagJob:
     if tag_id not in _JOBS:
         raise KeyError(f"no job for tag {tag_id}; known: {sorted(_JOBS)}")
-    return TagJob(tag_id, _JOBS[tag_id](options), products=tag_id == BP)
+    shared = _SHARED[tag_id](options) if tag_id in _SHARED else None
+    return TagJob(tag_id, _JOBS[tag_id](options), products=tag_id == BP, shared=shared)

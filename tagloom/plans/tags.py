@@ -61,13 +61,31 @@ def recency(orders: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
 
 def cycle_tag(orders: DataFrame, rules: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
     """Consumption cycle: the days since the last order lie in the band."""
-    return _tagged(match_range(recency(orders, as_of, shift_days), "days", range_rules(rules), ["memberId"]), "memberId")
+    return _cycle(recency(orders, as_of, shift_days), rules)
+
+
+def cycle_of_state(state: DataFrame, rules: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
+    """``cycle_tag`` from the orders' state."""
+    last = state.groupBy("memberId").agg(days_since(epoch_to_timestamp(F.max("last_time")), as_of, shift_days).alias("days"))
+    return _cycle(last, rules)
+
+
+def _cycle(days: DataFrame, rules: DataFrame) -> DataFrame:
+    return _tagged(match_range(days, "days", range_rules(rules), ["memberId"]), "memberId")
 
 
 def payment_tag(orders: DataFrame, rules: DataFrame, default: str = "other") -> DataFrame:
     """Most used payment method, ties by name; a method without a rule counts as ``default``."""
     methods = orders.select("memberId", F.col("paymentCode").cast("string").alias("paymentCode"))
-    counts = usage_counts(methods, "memberId", "paymentCode")
+    return _payment(usage_counts(methods, "memberId", "paymentCode"), rules, default)
+
+
+def payment_of_state(state: DataFrame, rules: DataFrame, default: str = "other") -> DataFrame:
+    """``payment_tag`` from the orders' state."""
+    return _payment(state.select("memberId", "paymentCode", F.col("codes").alias("counts")), rules, default)
+
+
+def _payment(counts: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     top = top_n_per_group(counts, "memberId", [F.desc("counts"), F.asc("paymentCode")], 1)
     return _tagged(match_exact(top.select("memberId", "paymentCode"), "paymentCode", rules, default=default,
                                spread_by=["memberId"]), "memberId")
@@ -88,6 +106,26 @@ def rfe_features(logs: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
             .withColumnRenamed("global_user_id", "userId"))
 
 
+def rfm_of_state(state: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
+    """``rfm_features`` from the orders' state."""
+    return state.groupBy(F.col("memberId").alias("userId")).agg(
+        days_since(epoch_to_timestamp(F.max("last_time")), as_of, shift_days).alias("recency"),
+        F.sum("orders").alias("frequency"), F.sum("amount").alias("monetary"))
+
+
+def rfe_of_state(state: DataFrame, as_of: str, shift_days: int = 0) -> DataFrame:
+    """``rfe_features`` from the logs' state, which has a row for each page of a user."""
+    return state.groupBy(F.col("global_user_id").alias("userId")).agg(
+        days_since(F.max("last_visit"), as_of, shift_days).alias("recency"),
+        F.sum("views").alias("frequency"), F.count("loc_url").alias("engagements"))
+
+
+def psm_of_state(state: DataFrame, zero_discount: str = "drop") -> DataFrame:
+    """``psm_features`` from the orders' state."""
+    totals = state.groupBy("memberId").agg(*[F.sum(c).alias(c) for c in ("tdon", "ton", "tda", "tra")])
+    return _sensitivity(totals, zero_discount)
+
+
 def score(features: DataFrame, bins: Mapping[str, Bins]) -> DataFrame:
     """Replace each feature by its score; a user with a value in a gap has null there."""
     return features.select("userId", *[bin_score(F.col(c), b).cast("int").alias(c) for c, b in bins.items()])
@@ -98,7 +136,10 @@ def psm_features(orders: DataFrame, zero_discount: str = "drop") -> DataFrame:
     sensitive (0) with ``zero_discount='least_sensitive'``."""
     typed = orders.select("memberId", F.col("orderAmount").try_cast("double").alias("orderAmount"),
                           F.col("couponCodeValue").try_cast("double").alias("couponCodeValue"))
-    totals = discount_totals(typed, "memberId", "orderAmount", "couponCodeValue")
+    return _sensitivity(discount_totals(typed, "memberId", "orderAmount", "couponCodeValue"), zero_discount)
+
+
+def _sensitivity(totals: DataFrame, zero_discount: str) -> DataFrame:
     psm = totals.select(F.col("memberId").alias("userId"), price_sensitivity(
         F.col("tdon"), F.col("ton"), F.col("tda"), F.col("tra")).alias("psm"))
     if zero_discount == "least_sensitive":

@@ -82,7 +82,7 @@ def test_old_snapshots_are_retired(spark, tmp_path):
     store = ProfileStore(spark, str(tmp_path / "profile"), keep=2)
     for i in range(4):
         store.upsert(spark.createDataFrame([("u", str(i))], "userId string, tagsId string"))
-    assert sorted(p.name for p in (tmp_path / "profile").glob("[cs]*")) == ["claim-000003", "claim-000004", "snapshot-000003", "snapshot-000004"]
+    assert sorted(p.name for p in (tmp_path / "profile").glob("manifest-*")) == ["manifest-000003.json", "manifest-000004.json"]
     assert store.version() == 4 and store.read().collect()[0].tagsId == "3" and store.read(3).collect()[0].tagsId == "2"
 
 

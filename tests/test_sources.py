@@ -108,7 +108,7 @@ def test_profile_store(spark, tmp_path):
     assert store.version() == 2
     assert pairs(store.read()) == [("1", "a"), ("2", "c"), ("3", "d")]
     assert pairs(before) == [("1", "a"), ("2", "b")]  # a reader of the old snapshot is not disturbed
-    (tmp_path / "profile" / "snapshot-000003").mkdir()  # a write that broke off
+    (tmp_path / "profile" / "data-000003").mkdir()  # a write that broke off
     assert store.version() == 2
     store.upsert(spark.createDataFrame([("1", "z")], P))
     assert pairs(store.read())[0] == ("1", "z")
@@ -257,9 +257,8 @@ def test_second_writer_of_a_version_fails_and_loses_nothing(spark, tmp_path):
     first.upsert(row("2", "b"))
     with pytest.raises(RuntimeError, match="another job"):
         second.replace(row("3", "c"), base)
-    first._claim(3)  # a writer that is not done yet
     with pytest.raises(RuntimeError, match="another job"):
-        second.upsert(row("3", "c"))
+        second.add(row("3", "c"), base)
     assert sorted(map(tuple, first.read().collect())) == [("1", "a"), ("2", "b")]
 
 
