@@ -9,11 +9,12 @@ from tagloom.catalogue.scalars import RFM_SQL, SCALED_RFM, scores_sql
 from tagloom.catalogue.tables import LOGS_SQL, ORDERS_AS_OF, log_source, order_source
 from tagloom.catalogue.tags import (CYCLE_RULES, CYCLE_SQL, PAYMENT_RULES, PAYMENT_SQL, PSM_CENTRES, PSM_RULES, RFM_CENTRES, RFM_RULES, ranked_sql, union_tags_sql)
 from tagloom.functions.dates import timestamp_to_epoch
+from tagloom.operators import cluster
 from tagloom.plans import tags as jobs
 from tagloom.plans.registry import CYCLE, PAYMENT, PSM, RFM
 from tagloom.plans.state import LOGS, ORDERS, StateStore
 from tagloom.plans.template import FromState, KeptStates, TagJob, run_jobs
-from tagloom.session import local_frame, scratch_path
+from tagloom.session import local_frame, materialised, scratch_path
 from tagloom.sources.readers import TAG_SCHEMA
 from tagloom.sources.stores import ProfileStore
 
@@ -102,3 +103,39 @@ def _(spark, sf):
     logs = log_source(spark, sf).withColumn("load", F.crc32("log_time") % 2)
     store.add(logs.where("load = 0"), "load")
     return jobs.rfe_of_state(store.add(logs, "load"), "2024-01-31")
+
+
+# Four groups of customers at the corners of a square, each order a point near its customer's corner.
+_GROUPS = 4
+
+
+def planted(spark, sf):
+    noise = [(F.pmod(F.xxhash64("o_orderkey", F.lit(i)), F.lit(1000)) / 1000.0 - 0.5) * 2 for i in (1, 2)]
+    group = F.pmod(F.col("o_custkey"), F.lit(_GROUPS))
+    return table(spark, sf, "orders").select("o_orderkey", group.alias("planted"), (F.floor(group / 2) * 10 + noise[0]).alias("x"), (group % 2 * 10 + noise[1]).alias("y"))
+
+
+@query("l16_gap", """
+  SELECT CAST(count(*) AS BIGINT) AS n_points, CAST(count(DISTINCT o_custkey % 4) AS INTEGER) AS k, true AS falling FROM orders""")
+def _(spark, sf):
+    points = materialised(planted(spark, sf), "points")
+    rated = cluster.gap_statistic(points, ["x", "y"], range(1, 8))
+    sse = [r["sse"] for r in rated.orderBy("k").collect()]
+    return points.agg(F.count("*").alias("n_points")).select(
+        "n_points", F.lit(cluster.gap_k(rated)).alias("k"), F.lit(all(a > b for a, b in zip(sse[:_GROUPS], sse[1:_GROUPS]))).alias("falling"))
+
+
+@query("l14_planted", """
+  SELECT CAST(o_custkey % 4 AS BIGINT) AS planted, CAST(count(*) AS BIGINT) AS n_points, 1::BIGINT AS clusters, true AS centre_is_mean,
+         true AS nearest FROM orders GROUP BY 1""")
+def _(spark, sf):
+    points = materialised(planted(spark, sf), "points")
+    centres = cluster.fit_kmeans(points, ["x", "y"], _GROUPS, max_iter=100)
+    placed = cluster.assign(points, ["x", "y"], centres)
+    known = local_frame(spark, [(i, *map(float, c)) for i, c in enumerate(centres)], "_cluster int, cx double, cy double")
+    joined = placed.join(F.broadcast(known), F.col("cluster") == F.col("_cluster"))
+    own = F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)
+    return joined.groupBy("planted").agg(
+        F.count("*").alias("n_points"), F.count_distinct("cluster").alias("clusters"),
+        ((F.abs(F.avg("x") - F.avg("cx")) < 1e-6) & (F.abs(F.avg("y") - F.avg("cy")) < 1e-6)).alias("centre_is_mean"),
+        (F.max(F.abs(own - F.col("distance"))) < 1e-9).alias("nearest"))

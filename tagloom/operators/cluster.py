@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import Column, DataFrame
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.features import assemble
 from tagloom.operators.match import rank_zip
-from tagloom.session import local_frame
+from tagloom.session import local_frame, shuffle_partitions
 
 Centres = Sequence[Sequence[float]]
 
@@ -36,6 +39,11 @@ def _fit(points: DataFrame, features: Sequence[str], k: int, seed: int, max_iter
     if len(few) <= k:
         # Every distinct point is its own cluster.
         return sorted([float(x) for x in point] for point in few), 0.0
+    if k == 1:
+        total = F.sum("weight")
+        centre = [float(x) for x in points.agg(*[F.sum(F.col(f) * F.col("weight")) / total for f in features]).first()]
+        cost = points.agg(F.sum(squared_distances(features, [centre])[0] * F.col("weight"))).first()[0]
+        return [centre], float(cost)
     # With the default two steps the start may find fewer than k centres, which the fit cannot take.
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initSteps=5, weightCol="weight").fit(points)
     return [[float(x) for x in centre] for centre in model.clusterCenters()], float(model.summary.trainingCost)
@@ -77,6 +85,83 @@ def elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int =
     return local_frame(df.sparkSession, rows, "k int, clusters int, sse double")
 
 
+def errors(df: DataFrame, features: Sequence[str], centres: Sequence[Centres]) -> list[float]:
+    """Mean squared distance to the nearest centre for each of several sets of centres, all from one pass."""
+    nearest = [F.avg(F.array_min(squared_distances(features, c))).alias(f"e{i}") for i, c in enumerate(centres)]
+    return [0.0 if e is None else float(e) for e in df.dropna(subset=list(features)).agg(*nearest).first()]
+
+
+def lloyd_error(points: np.ndarray, k: int, rng: np.random.Generator, starts: int = 4, max_iter: int = 50) -> float:
+    """Smallest mean squared distance of a few k-means runs over some points, each started far apart."""
+    best = np.inf
+    for _ in range(starts):
+        centres = points[rng.integers(len(points))][None]
+        for _ in range(k - 1):
+            d = ((points[:, None] - centres[None]) ** 2).sum(2).min(1)
+            centres = np.vstack([centres, points[rng.choice(len(points), p=d / d.sum()) if d.sum() > 0 else 0]])
+        for _ in range(max_iter):
+            nearest = ((points[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+            moved = np.array([points[nearest == i].mean(0) if (nearest == i).any() else c for i, c in enumerate(centres)])
+            if np.allclose(moved, centres):
+                break
+            centres = moved
+        best = min(best, float(((points[:, None] - centres[None]) ** 2).sum(2).min(1).mean()))
+    return best
+
+
+def gap_statistic(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 200, draws: int = 8, draw_points: int = 400,
+                  max_iter: int = 50) -> DataFrame:
+    """``(k, sse, error, gap, deviation)``: how much smaller the error of k clusters is than that of evenly spread points.
+
+    The reference is ``draws`` sets of ``draw_points`` points from the box that bounds the users; every draw is clustered by a
+    task of its own for every k. The users' centres of all k are rated in one scan. ``gap`` is the mean logarithm of the
+    reference's errors less that of the users' error, infinite where the users' error is 0; a feature without spread is left out
+    of the reference by itself, as its side of the box is a point.
+    """
+    spark, names = df.sparkSession, list(features)
+    points = assemble(weighted_points(df, names), names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = [_fit(points, names, k, seed, max_iter)[0] for k in ks]
+    finally:
+        points.unpersist()
+    users = df.dropna(subset=names)
+    box = users.agg(F.count("*"), *[f(F.col(c).cast("double")) for c in names for f in (F.min, F.max)]).first()
+    if not box[0]:
+        return local_frame(spark, [], "k int, sse double, error double, gap double, deviation double")
+    low, high = np.array(box[1::2], float), np.array(box[2::2], float)
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for draw, k in zip(batch.column("draw").to_pylist(), batch.column("k").to_pylist()):
+                cloud = np.random.default_rng([seed, draw]).uniform(low, high, (draw_points, len(low)))
+                error = lloyd_error(cloud, k, np.random.default_rng([seed, draw, k]))
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([error])], names=["k", "error"])
+
+    cells = local_frame(spark, [(draw, k) for draw in range(draws) for k in ks], "draw int, k int")
+    reference = cells.repartition(shuffle_partitions(spark), "draw", "k").mapInArrow(drawn, "k int, error double")
+    logs: dict[int, list[float]] = {}
+    # One row for each draw and k.
+    for row in reference.collect():
+        logs.setdefault(row["k"], []).append(math.log(row["error"]) if row["error"] > 0 else -math.inf)
+    rows = []
+    for k, error in zip(ks, errors(users, names, fitted)):
+        own, spread_out = math.log(error) if error > 0 else -math.inf, np.array(logs[k])
+        gap = math.inf if own == -math.inf else float(spread_out.mean() - own)
+        deviation = float(spread_out.std() * math.sqrt(1 + 1 / draws)) if np.isfinite(spread_out).all() else 0.0
+        rows.append((k, error * box[0], error, gap, deviation))
+    return local_frame(spark, rows, "k int, sse double, error double, gap double, deviation double")
+
+
+def gap_k(table: DataFrame) -> int:
+    """The smallest k whose gap comes within a deviation of the largest one.
+
+    Groups in a row may split as badly as even points do, so the first k that the next one does not beat can be too small.
+    """
+    rows = table.orderBy("k").collect()  # one row per tried k
+    best = max(rows, key=lambda r: (r["gap"], -r["k"]))
+    return next(r["k"] for r in rows if r["gap"] >= best["gap"] - best["deviation"])
+
+
 def select_k(table: DataFrame) -> int:
     """The k where the fall of the error slows down most (largest second difference)."""
     rows = table.orderBy("k").collect()  # one row per tried k

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.texts import struct_field_csv
@@ -20,7 +19,9 @@ from tagloom.session import ensure_checkpoint_dir, materialised
 # Largest part of a factor table that is sent to every executor at once, and the products one block may hold.
 FACTOR_BYTES = 64 * 1024 * 1024
 BLOCK_CELLS = 8_000_000
-# Ratings of one factor block, and most blocks: a task holds a builder for each pair of blocks.
+ROUNDING = 1e-4  # of a product of 32-bit factors, relative to their lengths
+# Ratings of one factor block. A task that deals ratings out holds a builder for each pair of blocks, so by default there are 64
+# blocks at most, which then grow; ``fit_als`` takes another number where the executors hold more builders or smaller blocks.
 BLOCK_RATINGS = 500_000
 MOST_BLOCKS = 64
 
@@ -60,11 +61,11 @@ def restore_ids(recommendations: DataFrame, users: DataFrame, items: DataFrame)
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, iterations: int = 10, alpha: float = 0.1, reg: float = 0.1,
-            implicit: bool = True, seed: int = 1) -> ALSModel:
+            implicit: bool = True, seed: int = 1, most_blocks: int = MOST_BLOCKS) -> ALSModel:
     """Factor ``(userId, itemId, rating)``; the lineage of the iterations is cut by checkpoints."""
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = min(MOST_BLOCKS, ratings.count() // BLOCK_RATINGS + 1)  # of the data, so a cluster setting does not change the model
+    blocks = min(most_blocks, ratings.count() // BLOCK_RATINGS + 1)  # of the data, so a cluster setting does not change the model
     return ALS(userCol="userId", itemCol="itemId", ratingCol="rating", rank=rank, maxIter=iterations, alpha=alpha,
                regParam=reg, implicitPrefs=implicit, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
                coldStartStrategy="nan").fit(ratings)
@@ -89,23 +90,73 @@ def _best_matches(asking: DataFrame, offered: DataFrame, rank: int, n: int, key:
                   subset: DataFrame | None) -> DataFrame:
     """Best ``n`` offered factors for each asking one.
 
-    The offered factors are dealt into parts that may be sent to every task. One part needs no shuffle. Of several, the
-    best of each part are written before the next one is sent, and a row's lists, ``n`` long each, are merged.
+    Factors that may be sent to every task at once need no shuffle. More of them are sent in parts, the longest factors first.
+    No product is larger than that of the lengths, so a row whose ``n``-th best is above its length times that of the next part
+    is done, and the parts that are left when all rows are done are never sent.
     """
     parts = offered.count() * (rank + 1) * 4 // max(1, FACTOR_BYTES) + 1
     if subset is not None:
         asking = asking.join(subset.select(F.col(key).alias("id")), "id", "left_semi")
     if parts == 1:
         return _best_of_part(asking, offered, rank, n, key, other)[0]
-    found = []
-    for part in range(parts):
-        best, shared = _best_of_part(asking, offered.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part), rank, n, key, other)
-        found.append(materialised(best, "best"))
-        shared.destroy()
-    lists = reduce(DataFrame.unionByName, found).groupBy(key).agg(F.flatten(F.collect_list("recommendations")).alias("_all"))
-    ordered = F.array_sort(F.transform("_all", lambda r: F.struct((-r["rating"]).alias("_down"), r[other].alias(other))))
-    return lists.select(key, F.transform(F.slice(ordered, 1, n), lambda r: F.struct(
-        r[other].alias(other), (-r["_down"]).alias("rating"))).alias("recommendations"))
+    offered = materialised(offered.select("id", "features", _length().alias("_length")), "factors")
+    none = F.array().cast(f"array<struct<{other}: int, rating: float>>").alias("recommendations")
+    state = materialised(asking.select("id", "features", _length().alias("_length"), none), "best")
+    for part, longest in parts_by_length(offered, parts, rank):
+        reached = F.col("_length") * F.lit(longest * (1 + ROUNDING))
+        open_ = (F.size("recommendations") < n) | (F.coalesce(F.get("recommendations", F.lit(n - 1))["rating"], F.lit(0.0)) <= reached)
+        if not state.where(open_).take(1):
+            break
+        state = _with_part(state.withColumn("_open", open_), part, rank, n, other)
+    return state.select(F.col("id").alias(key), "recommendations")
+
+
+def _length() -> Column:
+    return F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+def parts_by_length(offered: DataFrame, parts: int, rank: int) -> Iterator[tuple[DataFrame, float]]:
+    """Parts of the factors that may be sent, with the largest length in each, from long to short.
+
+    Quantiles cut the lengths into ranges; a range that is too large, as of many equal lengths, is dealt out further.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    cuts = sorted(set(offered.agg(F.percentile_approx("_length", shares, 100 * parts)).first()[0] or []))
+    shorter = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: F.col("_length") <= cut))
+    ranged = offered.withColumn("_range", shorter)
+    # One row for each range.
+    for row in sorted(ranged.groupBy("_range").agg(F.count("*").alias("n"), F.max("_length").alias("longest")).collect()):
+        own, pieces = ranged.where(F.col("_range") == row["_range"]), row["n"] * (rank + 1) * 4 // max(1, FACTOR_BYTES) + 1
+        for piece in range(pieces):
+            yield own.where(F.pmod(F.xxhash64("id"), F.lit(pieces)) == piece).select("id", "features"), row["longest"]
+
+
+def _with_part(state: DataFrame, part: DataFrame, rank: int, n: int, other: str) -> DataFrame:
+    """The lists of the open rows with what a part has to offer, written; other rows stay as they are."""
+    table = part.orderBy("id").toArrow()  # bounded by FACTOR_BYTES, about
+    shared = state.sparkSession.sparkContext.broadcast((table["id"].combine_chunks().to_numpy(), _matrix(table["features"], rank)))
+    columns = ["id", "features", "_length", "recommendations"]
+    kept = min(n, table.num_rows)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, factors = shared.value
+        block = max(1, BLOCK_CELLS // max(1, len(ids)))
+        for batch in batches:
+            lists, wanted = batch.column("recommendations").to_pylist(), np.flatnonzero(batch.column("_open").to_numpy(zero_copy_only=False))
+            rows = _matrix(batch.column("features"), rank)
+            for at in range(0, len(wanted) if kept else 0, block):
+                own = wanted[at:at + block]
+                products = rows[own] @ factors.T
+                top = highest(products, kept)
+                for i, found, values in zip(own.tolist(), ids[top].tolist(), np.take_along_axis(products, top, axis=1).tolist()):
+                    offers = lists[i] + [{other: x, "rating": v} for x, v in zip(found, values)]
+                    lists[i] = sorted(offers, key=lambda r: (-r["rating"], r[other]))[:n]
+            merged = pa.array(lists, batch.schema.field("recommendations").type)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns[:-1]), merged], names=columns)
+
+    written = materialised(state.mapInArrow(best, state.select(*columns).schema), "best")
+    shared.destroy()
+    return written
 
 
 def _best_of_part(asking: DataFrame, offered: DataFrame, rank: int, n: int, key: str, other: str) -> tuple[DataFrame, Broadcast]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
@@ -24,12 +25,6 @@ def _files(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _marked(spark: SparkSession, folders: str) -> list[str]:
-    """Names of the matching folders that hold a completely written table."""
-    pattern, files = _files(spark, f"{folders}/_SUCCESS")
-    return [f.getPath().getParent().getName() for f in files.globStatus(pattern) or []]
-
-
 def publish(spark: SparkSession, path: str, text: str) -> bool:
     """Make a small file appear whole under its name, unless that name is taken; tells whether it did.
 
@@ -195,16 +190,32 @@ class ProfileStore(BucketStore):
         return self.merge(collect_tags(new), united_lists, base)
 
 
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> str:
+    """Number and content of the rows, whatever their order: one pass, combined in the tasks."""
+    content = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    rows, total = df.agg(F.count("*"), content).first()
+    return hashlib.sha256(f"{rows}:{total}".encode()).hexdigest()[:16]
+
+
 def stored_centres(spark: SparkSession, path: str, k: int, features: Sequence[str],
-                   fit: Callable[[], Sequence[Sequence[float]]], refresh: bool = False) -> list[list[float]]:
+                   fit: Callable[[], Sequence[Sequence[float]]], refresh: bool = False, data: DataFrame | None = None,
+                   parameters: dict | None = None) -> list[list[float]]:
     """Load the cluster centres saved below ``path`` for this ``k`` and these features, or fit and save them.
 
-    The success marker of the written table tells a complete model from a save
-    that broke off. ``refresh`` fits anew in any case.
+    With ``data`` or ``parameters`` a model is loaded only for the same rows and the same parameters; other ones are fitted anew
+    and kept beside it. Centres are published whole, so one reads those of a complete save or none, and of two jobs that fit at
+    once both use what the first one published. ``refresh`` fits anew in any case.
     """
-    folder = f"{path.rstrip('/')}/{'-'.join(features)}-k{k}"
-    if refresh or not _marked(spark, folder):
-        centres = [(i, [float(x) for x in centre]) for i, centre in enumerate(fit())]
-        local_frame(spark, centres, "cluster int, centre array<double>").write.mode("overwrite").parquet(folder)
-    # One row per cluster.
-    return [list(row["centre"]) for row in spark.read.parquet(folder).orderBy("cluster").collect()]
+    told = {"k": k, "features": list(features), "parameters": parameters or {}, "data": fingerprint(data, features) if data is not None else None}
+    named = "-".join(features) if data is None and not parameters else hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()[:32]
+    pattern, files = _files(spark, f"{path.rstrip('/')}/{named}-k{k}.*.json")
+
+    def name(number: int) -> str:
+        return f"{path.rstrip('/')}/{named}-k{k}.{number:06d}.json"
+
+    newest = max((int(f.getPath().getName().split(".")[-2]) for f in files.globStatus(pattern) or []), default=0)
+    if refresh or not newest:
+        centres = [[float(x) for x in centre] for centre in fit()]
+        newest += 1
+        publish(spark, name(newest), json.dumps(told | {"centres": centres}))
+    return json.loads(read_text(spark, name(newest)))["centres"]
