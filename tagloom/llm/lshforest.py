@@ -408,7 +408,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, of which one document of each group stays; one row of each id."""
+    """The rows of ``docs``, with all their columns, of which one document of each group stays; one row of each id.
+
+    Texts without words are like no others and stay, and so do all rows with a null id; an empty table gives no rows; columns
+    may have any names.
+    """
     own = unused_name(docs, "_gone")
     found = materialised(groups(docs, id_col, text_col), "groups").where("doc_id is not null")
     gone = found.where("not kept").select(F.col("doc_id").alias(own)).distinct()

@@ -395,7 +395,11 @@ def redacted(text: str, spans: Sequence[Span]) -> str:
 
 
 def redact(docs: DataFrame, field: Field, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """``docs`` with all columns and rows, personal data replaced in the text and its length brought up to date."""
+    """``docs`` with all columns and rows, personal data replaced in the text and its length brought up to date.
+
+    A null text stays null and an empty one empty, whole texts of any length are searched, repeated rows come out alike; a table
+    without the length column keeps its columns; an empty table gives no rows.
+    """
     sent, schema = docs.sparkSession.sparkContext.broadcast(field), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -271,7 +271,11 @@ def score(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: st
 
 
 def without_toxic(docs: DataFrame, model: Toxicity, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose score is below one half."""
+    """The rows of ``docs``, with all their columns, whose score is below one half.
+
+    A null text is judged like an empty one, whole texts of any length as one, repeated rows alike; a null id stays or goes by
+    its text; an empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -188,6 +188,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     """The rows of ``docs``, with all their columns, that no part of the benchmark contaminates.
 
     With several passes each one removes what its part contaminates by itself, after the hits of all parts were put together.
+    Null and empty texts have no words and stay, repeated rows stay or go together, an empty table gives no rows, an empty
+    benchmark removes nothing; columns may have any names.
     """
     parts = passes(benchmark, pass_bytes)
     if len(parts) > 1:

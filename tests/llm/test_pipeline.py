@@ -45,3 +45,25 @@ def test_stages(spark, sf_dir):
 def test_run_is_the_stages(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir)
     assert whole.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and whole.count() > 0
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Null ids and texts, empty and very long texts, repeated rows, working names as columns, and no rows at all."""
+    names = ["doc_id", "text", "lang", "source", "n_chars", "_gone", "_digest", "key", "node", "tree", "chunk", "root"]
+    text = "the quick brown fox jumps over the lazy dog near the old river bank"
+    rows = [(1, text), (2, text + " mail me@example.org"), (2, text + " mail me@example.org"), (3, None), (4, ""), (5, "word " * 40_000), (None, text), (None, None), (6, " \n ")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names[5:])
+    docs = spark.createDataFrame([(i, t, None, "s", len(t or ""), *"abcdefg") for i, t in rows], schema)
+    stages = dict(corpus_pipeline.STAGES)
+    left = {"toxicity": [1, 2, 2, 3, 4, 5, 6, None, None], "near duplicates": [1, 3, 4, 5, 6, None, None], "decontamination": [1, 2, 2, 3, 4, 5, 6, None, None],
+            "personal data": [1, 2, 2, 3, 4, 5, 6, None, None]}
+    for name, expected in left.items():
+        kept = stages[name](spark, docs, sf_dir)
+        found = kept.collect()
+        assert kept.columns == names and sorted((r.doc_id for r in found), key=lambda i: (i is None, i)) == expected, name
+        assert {tuple(r)[5:] for r in found} == {tuple("abcdefg")}
+        assert stages[name](spark, docs.limit(0), sf_dir).count() == 0
+    hidden = {r.text for r in stages["personal data"](spark, docs, sf_dir).where("doc_id = 2").collect()}
+    assert hidden == {text + " mail [EMAIL]"}
+    pieces = stages["packing"](spark, docs, sf_dir)
+    assert pieces.where("start = 0").count() == len(rows) and stages["packing"](spark, docs.limit(0), sf_dir).count() == 0
