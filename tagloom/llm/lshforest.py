@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import arrow_schema, batch_of, byte_strings, identified, map_batches, unused_name
 from tagloom.llm.components import components, contracted
-from tagloom.operators.joins import lookup_join, skew_join
+from tagloom.operators.joins import fits_broadcast, lookup_join, skew_join
 from tagloom.session import materialised
 
 TREES = 24
@@ -416,6 +416,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = unused_name(docs, "_gone")
     found = materialised(groups(docs, id_col, text_col), "groups").where("doc_id is not null")
     gone = found.where("not kept").select(F.col("doc_id").alias(own)).distinct()
+    # Sent to the tasks below a measured bound, as else all texts are shuffled to lose a few of them.
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
     repeated = F.col(f"`{id_col}`").cast("long") == F.col(own)
     kept = docs.join(gone, repeated, "left_anti")
     again = materialised(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(own)), "again")
