@@ -19,6 +19,8 @@ CACHE_ENTRIES = 250_000
 
 # Pieces of these characters only are cut into pre-tokens here; all others go through the whole library pipeline.
 _SIMPLE = re.compile(rf" ?[{LETTERS}0-9\n!-/:-@\[-`{{-~]*\Z")
+# Most pieces: a word, perhaps with a mark behind it. Each is one pre-token in both vocabularies.
+_WORD = re.compile(rf"( ?)([{LETTERS}]+)([,.;:!?]?)\Z")
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r"(?= \S)")
 
@@ -74,11 +76,17 @@ class TokenIds:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _pretoken(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        plain = self.lowers and word.isascii()  # each byte stands for itself
+        ids = [t.id for t in self.model.tokenize(word if plain else word.encode().decode("latin-1").translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece without blanks but for a first one."""
+        found = _WORD.match(piece)
+        if found:
+            space, word, mark = found.groups()
+            ids = self.pretokens[word.lower() if self.lowers else space + word]
+            return ids + self.pretokens[mark] if mark else ids
         if not _SIMPLE.match(piece):
             return self.whole(piece)
         words = _BARE_WORDS.findall(piece.lower()) if self.lowers else _SPACED_WORDS.findall(piece)
