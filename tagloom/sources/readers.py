@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.operators.joins import lookup_join
+from tagloom.session import local_frame
+
 FIELD_SEPARATOR = "\u0001"
 
 # Columns of the web log table, in file order.
@@ -83,23 +88,44 @@ def split_line(line: Column, separator: str, strict_compat: bool) -> Column:
     return F.split(line, separator)
 
 
+def _file_ranks(lines: DataFrame) -> DataFrame:
+    """``(name, rank)`` of the files behind a frame, in the order of their names; the driver lists them to plan the scan anyway."""
+    names = sorted({re.sub("^file:/+", "file:/", name) for name in lines.inputFiles()})
+    return local_frame(lines.sparkSession, list(zip(names, range(len(names)))), "name string, rank long")
+
+
+def line_places(lines: DataFrame) -> DataFrame:
+    """Text lines with their ``place``: a number of fixed width that grows with file name, block and line.
+
+    Nine digits for the file, sixteen for the start of the block and ten for the line in it, so a hash aggregate can keep the
+    greatest one in its buffer.
+    """
+    lines = lines.select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("_file"),
+                         F.col("_metadata.file_block_start").cast("decimal(16,0)").alias("_block"),
+                         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(10,0)").alias("_line"))
+    ranked = lookup_join(lines, _file_ranks(lines), "_file", "name", "left", ["value", "_block", "_line"])
+    rank = F.coalesce("rank", F.raise_error(F.lit("a file was added while it was read"))).cast("decimal(9,0)")
+    place = rank * F.lit(Decimal(10**26)) + F.col("_block") * F.lit(Decimal(10**10)) + F.col("_line")
+    return ranked.select("value", place.cast("decimal(38,0)").alias("place"))
+
+
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], strict_compat: bool = False) -> DataFrame:
     """Load ``\\x01``-separated lines as strings, one row per key (the first field).
 
     A line that lacks one field at the end gets an empty one, a line of any
     other length is dropped. Of several lines with one key the last in file
-    order stays; that choice is made on the map side first, so a hot key
-    reaches its final task with one line per map task.
+    order stays. Only keys and places are aggregated, by hash and on the map
+    side first, so a hot key reaches its final task with one place per map
+    task; the lines then meet the places that stay, without a sort.
     """
     n = len(columns)
-    lines = spark.read.text(path).select(
-        split_line(F.col("value"), FIELD_SEPARATOR, strict_compat).alias("f"),
-        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("line")).alias("place"))
+    lines = line_places(spark.read.text(path))
+    fields = lines.select(split_line(F.col("value"), FIELD_SEPARATOR, strict_compat).alias("f"), "place")
     padded = F.when(F.size("f") == n - 1, F.concat("f", F.array(F.lit("")))).otherwise(F.col("f"))
-    whole = lines.where(F.size("f").isin(n - 1, n)).select(padded.alias("f"), "place")
-    last = whole.groupBy(F.col("f")[0].alias("key")).agg(F.max_by("f", "place").alias("f"))
-    return last.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
+    whole = fields.where(F.size("f").isin(n - 1, n)).select(padded.alias("f"), "place")
+    last = whole.groupBy(F.col("f")[0].alias("key")).agg(F.max("place").alias("place")).select("place")
+    kept = whole.join(last.hint("shuffle_hash"), "place", "left_semi")
+    return kept.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
 
 
 def load_table(spark: SparkSession, name: str, lines: str, out: str, strict_compat: bool = False) -> DataFrame:

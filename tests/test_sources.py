@@ -44,6 +44,23 @@ def test_delimited_last_line_over_many_splits(spark, tmp_path):
     assert found == {i: 4950 + i for i in range(50)}
 
 
+def test_delimited_last_file_wins_without_a_sort(spark, tmp_path):
+    # The last file by name is the shortest one, so the scan reads it last or first, but not in the order of the names.
+    write(tmp_path / "a 1.txt", [SEP.join([str(i % 7), f"a{i}"]) for i in range(900)])
+    write(tmp_path / "b%20é.txt", [SEP.join([str(i % 9), f"b{i}"]) for i in range(2000)])
+    write(tmp_path / "c=1.txt", [SEP.join(["3", "c0"]), SEP.join(["3", "c1"]), SEP.join(["100", "c2"])])
+    loaded = read_delimited(spark, str(tmp_path), ["id", "v"])
+    want = {str(k): f"b{max(i for i in range(2000) if i % 9 == k)}" for k in range(9)} | {"3": "c1", "100": "c2"}
+    assert {r["id"]: r["v"] for r in loaded.collect()} == want
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "HashAggregate" in plan
+
+
+def test_delimited_empty_folder(spark, tmp_path):
+    (tmp_path / "none.txt").write_text("")
+    assert read_delimited(spark, str(tmp_path), ["id", "v"]).collect() == []
+
+
 def test_text_formats(spark, tmp_path):
     homes = write(tmp_path / "homes", ["4424038|Farmington|2058.0|4|2|3|11|0.21|249900.0"])
     row = read_homes(spark, homes).first()
