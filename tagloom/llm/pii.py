@@ -18,8 +18,10 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ MARGIN = 3  # tokens of an island on either side of a digit or at-sign
 SLOTS = 1 << 15
 TRAIN_DOCS = 600  # documents with a pattern match that the field is fitted on, and as many without one
 EPOCHS = 4
+BLOCK_ENDS = 512  # tokens of an island whose candidate spans are held at a time
 THRESHOLD = 2.0  # a span is added if its score exceeds that of leaving it outside by so much
 
 SCHEMA = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
@@ -162,21 +165,23 @@ def outside_features(token: str) -> list[str]:
 
 
 class Lattice:
-    """Candidate spans of an island, with their feature slots."""
+    """Candidate spans of an island, with their feature slots; with ``ends`` only those that end in that range of tokens."""
 
-    def __init__(self, tokens, text: str, begin: int):
+    def __init__(self, tokens, text: str, begin: int, ends: tuple[int, int] | None = None):
         self.n = len(tokens)
-        mark = [t[2] == "@" or "0" <= t[2][0] <= "9" for t in tokens]
+        low, high = ends or (1, self.n + 1)
+        first = max(0, low - MAX_TOKENS)
+        mark = [t[2] == "@" or "0" <= t[2][0] <= "9" for t in tokens[first:high]]
         self.spans: list[tuple[int, int]] = []
         rows: list[list[int]] = []
-        for i in range(self.n):
+        for i in range(first, min(self.n, high - 1)):
             # A span begins with a letter, a digit, "+" or "(", and ends with a letter or a digit.
             if not (tokens[i][2][0].isalnum() or tokens[i][2] in "+("):
                 continue
             seen = False
-            for j in range(i + 1, min(self.n, i + MAX_TOKENS) + 1):
-                seen = seen or mark[j - 1]
-                if seen and tokens[j - 1][2][0].isascii() and tokens[j - 1][2][0].isalnum():
+            for j in range(i + 1, min(high - 1, i + MAX_TOKENS) + 1):
+                seen = seen or mark[j - 1 - first]
+                if j >= low and seen and tokens[j - 1][2][0].isascii() and tokens[j - 1][2][0].isalnum():
                     self.spans.append((i, j))
                     rows.append([slot(name) for name in span_features(tokens, i, j, text, begin)])
         width = max(map(len, rows), default=0)
@@ -184,10 +189,11 @@ class Lattice:
         self.slots = np.full((len(rows), width), SLOTS, np.int32)
         for row, slots in zip(self.slots, rows):
             row[:len(slots)] = slots
-        self.outside = [np.array([slot(f) for f in outside_features(t[2])], np.int32) for t in tokens]
-        self.by_end: list[list[int]] = [[] for _ in range(self.n + 1)]
+        self.outside = [np.array([slot(f) for f in outside_features(t[2])], np.int32) for t in tokens[low - 1:high - 1]]
+        # By end of the span, counted from ``low - 1``.
+        self.by_end: list[list[int]] = [[] for _ in range(high - low + 1)]
         for k, (_, j) in enumerate(self.spans):
-            self.by_end[j].append(k)
+            self.by_end[j - low + 1].append(k)
 
     def scores(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of every span for every kind, and of every token for being outside."""
@@ -196,30 +202,6 @@ class Lattice:
             return np.zeros((0, len(KINDS))), outside
         return weights[1:, self.slots].sum(2).T, outside
 
-    def best(self, weights: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """The best segmentation: spans with their kinds, and how far each beats leaving its tokens outside."""
-        spans, outside = self.scores(weights)
-        value, back = [0.0], [None]
-        for j in range(1, self.n + 1):
-            top, how = value[j - 1] + outside[j - 1], None
-            for k in self.by_end[j]:
-                kind = int(spans[k].argmax())
-                total = value[self.spans[k][0]] + spans[k, kind]
-                if total > top:
-                    top, how = total, (k, kind)
-            value.append(top)
-            back.append(how)
-        found, j = [], self.n
-        while j:
-            if back[j] is None:
-                j -= 1
-                continue
-            k, kind = back[j]
-            i = self.spans[k][0]
-            found.append((i, j, kind, float(spans[k, kind] - outside[i:j].sum())))
-            j = i
-        return found[::-1]
-
     def gradient(self, weights: np.ndarray, gold: dict[tuple[int, int], int], grad: np.ndarray) -> float:
         """Add the gradient of the log-likelihood of the gold spans; return that likelihood."""
         spans, outside = self.scores(weights)
@@ -254,6 +236,38 @@ class Lattice:
         return float(score - total)
 
 
+def best(tokens, text: str, begin: int, weights: np.ndarray, block: int = BLOCK_ENDS) -> list[tuple[int, int, int, float]]:
+    """The best segmentation of an island: spans with their kinds, and how far each beats leaving its tokens outside.
+
+    Spans are made and scored for ``block`` ends at a time, so an island of any length holds one block of candidates, and for
+    each token a value and the span that ends there in the best segmentation up to it.
+    """
+    value, back, before = [0.0], [None], [0.0]
+    for low in range(1, len(tokens) + 1, block):
+        part = Lattice(tokens, text, begin, (low, min(len(tokens) + 1, low + block)))
+        # In double precision, so that the length of an island does not blur its sums.
+        spans, outside = (scores.astype(float) for scores in part.scores(weights))
+        for at, alone in enumerate(outside.tolist()):
+            before.append(before[-1] + alone)
+            top, how = value[-1] + alone, None
+            for k in part.by_end[at + 1]:
+                i, kind = part.spans[k][0], int(spans[k].argmax())
+                total = value[i] + spans[k, kind]
+                if total > top:
+                    top, how = total, (i, kind, float(spans[k, kind] - (before[-1] - before[i])))
+            value.append(top)
+            back.append(how)
+    found, j = [], len(tokens)
+    while j:
+        if back[j] is None:
+            j -= 1
+            continue
+        i, kind, margin = back[j]
+        found.append((i, j, kind, margin))
+        j = i
+    return found[::-1]
+
+
 def disguises(kind: int, span: str, number: int) -> list[str]:
     """Spellings of a match that the patterns do not find."""
     if kind == 0:
@@ -312,12 +326,14 @@ class Field:
         found: list[Span] = []
         if not self.weights.any():
             return found
+        plain = sorted((s, e) for s, _, e in base)
+        starts, reached = [s for s, _ in plain], [0, *accumulate((e for _, e in plain), max)]
         for tokens in islands(text):
             low = max(0, tokens[0][0] - 1)
-            lattice = Lattice(tokens, text[low:tokens[-1][1] + 1], low)
-            for i, j, kind, margin in lattice.best(self.weights):
+            for i, j, kind, margin in best(tokens, text[low:tokens[-1][1] + 1], low, self.weights):
                 start, end = tokens[i][0], tokens[j - 1][1]
-                if margin >= self.threshold and all(end <= s or start >= e for s, _, e in base):
+                # None of the plain spans that start before the end goes beyond the start.
+                if margin >= self.threshold and reached[bisect_left(starts, end)] <= start:
                     found.append((start, kind, end))
         return found
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -284,6 +285,58 @@ def test_plain_personal_data(text):
     assert pii.base_spans(text) == base_pii(text)
 
 
+def segmentations(n, spans, at=0):
+    """All ways to cut n tokens into single ones left outside and candidate spans of a kind."""
+    if at == n:
+        yield []
+        return
+    yield from segmentations(n, spans, at + 1)
+    for (i, j), kind in itertools.product([s for s in spans if s[0] == at], range(len(pii.KINDS))):
+        for rest in segmentations(n, spans, j):
+            yield [(i, j, kind), *rest]
+
+
+@pytest.mark.parametrize("text", ["a@b.c", "1-2", "x 7", "@", "+1 (2"])
+def test_personal_data_decoding_against_enumeration(text):
+    weights = np.random.default_rng(3).normal(size=(1 + len(pii.KINDS), pii.SLOTS + 1))
+    weights[:, pii.SLOTS] = 0.0
+    tokens, = pii.islands(text)
+    lattice = pii.Lattice(tokens, text, 0)
+    spans, outside = lattice.scores(weights)
+    place = {s: k for k, s in enumerate(lattice.spans)}
+
+    def score(cut):
+        taken = {t for i, j, _ in cut for t in range(i, j)}
+        return sum(spans[place[i, j], kind] for i, j, kind in cut) + sum(outside[t] for t in range(len(tokens)) if t not in taken)
+
+    ways = list(segmentations(len(tokens), lattice.spans))
+    for block in (1, 2, 512):
+        found = pii.best(tokens, text, 0, weights, block)
+        assert score([f[:3] for f in found]) == pytest.approx(max(map(score, ways)))
+        for i, j, kind, margin in found:
+            assert margin == pytest.approx(spans[place[i, j], kind] - outside[i:j].sum())
+    # The likelihood of a labelling is its share of all of them.
+    gold = max(ways, key=len)
+    likelihood = lattice.gradient(weights, {(i, j): kind for i, j, kind in gold}, np.zeros_like(weights))
+    assert likelihood == pytest.approx(score(gold) - np.logaddexp.reduce([score(w) for w in ways]))
+
+
+def test_personal_data_of_a_very_long_line():
+    random = np.random.default_rng(5)
+    weights = random.normal(size=(1 + len(pii.KINDS), pii.SLOTS + 1)).astype(np.float32)
+    weights[:, pii.SLOTS] = 0.0
+    line = " ".join(map(str, random.integers(0, 300, 3000)))
+    tokens, = pii.islands(line)
+    whole = pii.best(tokens, line, 0, weights, len(tokens))
+    assert [f[:3] for f in pii.best(tokens, line, 0, weights, 64)] == [f[:3] for f in whole]
+    tracemalloc.start()
+    try:
+        pii.best(tokens, line, 0, weights, 64)
+        assert tracemalloc.get_traced_memory()[1] < 6_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_personal_data_field(spark, given):
     field = pii.fit(given, rows=150)
     for r in given.collect():
