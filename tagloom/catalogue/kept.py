@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.catalogue.registry import query, table
 from tagloom.catalogue.scalars import RFM_SQL, SCALED_RFM, scores_sql
-from tagloom.catalogue.tables import LOGS_SQL, ORDERS_AS_OF, log_source, order_source
+from tagloom.catalogue.tables import LOGS_SQL, MODELS_SQL, NATION_ID, ORDERS_AS_OF, TAGS_SQL, log_source, model_table, order_source, tag_table
 from tagloom.catalogue.tags import (CYCLE_RULES, CYCLE_SQL, PAYMENT_RULES, PAYMENT_SQL, PSM_CENTRES, PSM_RULES, RFM_CENTRES, RFM_RULES, ranked_sql, union_tags_sql)
 from tagloom.functions.dates import timestamp_to_epoch
 from tagloom.operators import cluster
@@ -16,7 +16,8 @@ from tagloom.plans.state import LOGS, ORDERS, StateStore
 from tagloom.plans.template import FromState, KeptStates, TagJob, run_jobs
 from tagloom.session import local_frame, materialised, scratch_path
 from tagloom.sources.readers import TAG_SCHEMA
-from tagloom.sources.stores import ProfileStore
+from tagloom.sources.stores import Conflict, ProfileStore
+from tagloom.sources.tags import TagStore
 
 # Urgent orders come with a coupon of a tenth of the price.
 _COUPON_SQL = """SELECT CAST(o_custkey AS VARCHAR) AS u, o_totalprice AS amount,
@@ -139,3 +140,31 @@ def _(spark, sf):
         F.count("*").alias("n_points"), F.count_distinct("cluster").alias("clusters"),
         ((F.abs(F.avg("x") - F.avg("cx")) < 1e-6) & (F.abs(F.avg("y") - F.avg("cy")) < 1e-6)).alias("centre_is_mean"),
         (F.max(F.abs(own - F.col("distance"))) < 1e-9).alias("nearest"))
+
+
+# Suppliers in debt are the first batch of new tags, the others the second one; each batch is numbered by name.
+_BATCHES_SQL = f"""(SELECT s_name AS name, CAST(s_nationkey + {NATION_ID} AS BIGINT) AS pid,
+    row_number() OVER (ORDER BY CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END, s_name) AS n FROM supplier)"""
+
+
+@query("m9_tag_versions", f"""
+  SELECT t.id, t.name, t.pid, m.id AS model_id, m.model_name, m.state FROM {TAGS_SQL} t LEFT JOIN {MODELS_SQL} m ON m.tag_id = t.id
+  UNION ALL
+  SELECT (SELECT max(id) FROM {TAGS_SQL} t) + n, name, pid, (SELECT max(id) FROM {MODELS_SQL} m) + n, 'model of ' || name, 1
+  FROM {_BATCHES_SQL} b""")
+def _(spark, sf):
+    store = TagStore(spark, scratch_path(spark, "tags"))
+    store.load(tag_table(spark, sf), model_table(spark, sf))
+    new = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"), F.lit(None).cast("string").alias("rule"), F.lit(4).alias("level"),
+        (F.col("s_nationkey") + NATION_ID).cast("long").alias("pid"),
+        F.concat(F.lit("model of "), "s_name").alias("model_name"), F.lit(1).alias("state"), "s_acctbal")
+    store.append(new.where("s_acctbal < 0"), ["name"])
+    # The second writer started from the first version: it fails, and gives its ids anew from the newest one.
+    rest = new.where("s_acctbal >= 0")
+    try:
+        store.append(rest, ["name"], base=1)
+    except Conflict:
+        store.append(rest, ["name"])
+    whole = store.read().select("id", "name", "pid", F.explode_outer("models").alias("m"))
+    return whole.select("id", "name", "pid", F.col("m.id").alias("model_id"), "m.model_name", "m.state")

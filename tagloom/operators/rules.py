@@ -89,9 +89,9 @@ def _next_id(tags: DataFrame) -> int:
     return (tags.agg(F.max("id")).first()[0] or 0) + 1
 
 
-def append_tags(tags: DataFrame, new: DataFrame, order_by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Give new tags the next free ids; returns the whole table and the numbered new rows."""
-    start = _next_id(tags)
+def append_tags(tags: DataFrame, new: DataFrame, order_by: list[str], first_id: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Give new tags the next free ids, ``first_id`` at least; returns the whole table and the numbered new rows."""
+    start = max(_next_id(tags), first_id)
     numbered = number_rows(new, order_by, "_n").withColumn("id", F.col("_n") + (start - 1)).drop("_n")
     return tags.unionByName(numbered.select(*tags.columns)), numbered
 
@@ -106,7 +106,7 @@ def append_tags_with_models(tags: DataFrame, models: DataFrame, new: DataFrame,
     return all_tags, models.unionByName(rows.select(*models.columns))
 
 
-def upsert_paths(tags: DataFrame, paths: DataFrame) -> DataFrame:
+def upsert_paths(tags: DataFrame, paths: DataFrame, first_id: int = 1) -> DataFrame:
     """Insert the missing tags of a batch of ``(name1, name2, name3)`` paths.
 
     Level by level: a tag exists when its name is known under the resolved
@@ -119,7 +119,7 @@ def upsert_paths(tags: DataFrame, paths: DataFrame) -> DataFrame:
         known = tags_of_level(tags, level).select("name", "pid")
         fresh = (wanted.join(known, ["name", "pid"], "left_anti")
                  .withColumn("level", F.lit(level)).withColumn("rule", F.lit(None).cast("string")))
-        tags = materialised(append_tags(tags, fresh, ["pid", "name"])[0])
+        tags = materialised(append_tags(tags, fresh, ["pid", "name"], first_id)[0])
         if level < 3:
             ids = (tags_of_level(tags, level).groupBy("name", "pid").agg(F.min("id").alias("_id"))
                    .select(F.struct("pid", "name").alias("_key"), "_id"))

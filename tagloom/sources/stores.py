@@ -67,6 +67,10 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 BUCKET = "_bucket"
 
 
+class Conflict(RuntimeError):
+    """Another writer published the next version first."""
+
+
 class BucketStore:
     """A keyed table in hash buckets below one folder, with a manifest for every version.
 
@@ -128,7 +132,7 @@ class BucketStore:
             now = folders | {name.split("=")[1]: folder for name in made if name.startswith(f"{BUCKET}=")}
             text = json.dumps({"buckets": manifest["buckets"], "folders": now, "note": manifest["note"] if note is None else note}, sort_keys=True)
             if self.version() > base or not publish(self.spark, f"{self.root}/manifest-{base + 1:06d}.json", text):
-                raise RuntimeError(f"version {base + 1} was written by another job: start anew from the current version")
+                raise Conflict(f"version {base + 1} was written by another job: start anew from the current version")
         except BaseException:
             files.delete(at, True)
             raise

@@ -12,7 +12,8 @@ from tagloom.plans.registry import JobOptions, job
 from tagloom.plans.state import LOGS, ORDERS, StateStore, merged, summed
 from tagloom.plans.template import shared_states
 from tagloom.sources.readers import TAG_SCHEMA
-from tagloom.sources.stores import BucketStore, ProfileStore, publish, read_text
+from tagloom.sources.stores import BucketStore, Conflict, ProfileStore, publish, read_text
+from tagloom.sources.tags import TagStore
 
 P = "userId string, tagsId string"
 
@@ -194,3 +195,54 @@ def test_tag_table_from_a_database(spark, monkeypatch):
             run.main(["--tag", "23", "--as-of", "2019-09-12", "--tags", "jdbc:mysql://host/db", "--tags-property", "user=u", "--tags-property", "password=a=b",
                       "--sources", "s", "--profile", "p", *more], spark)
         assert asked[-1] == ("jdbc:mysql://host/db", "tbl_basic_tag", {"user": "u", "password": "a=b"}, *ranges)
+
+
+NEW = "name string, rule string, level int, pid long"
+
+
+def test_two_writers_of_tags(spark, tmp_path):
+    store = TagStore(spark, str(tmp_path / "tags"), buckets=16)
+    tags = spark.createDataFrame([(4, "a", None, 1, -1), (9, "b", "r", 2, 4)], TAG_SCHEMA)
+    models = spark.createDataFrame([(5, 9, "m", 1), (3, 9, "l", 2)], "id long, tag_id long, model_name string, state int")
+    store.load(tags, models)
+    assert rows(store.models()) == [(3, 9, "l", 2), (5, 9, "m", 1)] and rows(store.tags()) == rows(tags)
+    first = spark.createDataFrame([("d", None, 2, 4), ("c", None, 2, 4)], NEW)
+    second = spark.createDataFrame([("e", "x", 2, 4, "n", 1)], NEW + ", model_name string, state int")
+    assert [r[:2] for r in rows(store.append(first, ["name"]))] == [(10, "c"), (11, "d")]
+    with pytest.raises(Conflict):
+        store.append(second, ["name"], base=1)
+    assert store.version() == 2 and store.tags().count() == 4
+    before = folders(store, 2)
+    assert [r[:2] for r in rows(store.append(second, ["name"]))] == [(12, "e")]
+    assert (6, 12, "n", 1) in rows(store.models())
+    assert sum(before.get(b) != f for b, f in folders(store, 3).items()) == 1
+    assert store.append(first.limit(0), ["name"]).count() == 0 and store.version() == 3
+
+
+def test_a_writer_that_was_overtaken_starts_anew(spark, tmp_path):
+    store, other = (TagStore(spark, str(tmp_path / "tags"), buckets=2) for _ in range(2))
+    store.load(spark.createDataFrame([(1, "a", None, 1, -1)], TAG_SCHEMA))
+    plain, overtaken = store.merge, []
+
+    def late(changes, combine, base=None, note=None):
+        if not overtaken:
+            overtaken.append(other.append(spark.createDataFrame([("b", None, 2, 1)], NEW), ["name"]))
+        return plain(changes, combine, base, note)
+
+    store.merge = late
+    made = store.append(spark.createDataFrame([("c", None, 2, 1)], NEW), ["name"])
+    assert rows(made)[0][:2] == (3, "c") and [r[0] for r in rows(store.tags())] == [1, 2, 3] and store.version() == 3
+
+
+def test_ids_of_tags_are_given_once(spark, tmp_path):
+    store = TagStore(spark, str(tmp_path / "tags"), buckets=2)
+    paths = "name1 string, name2 string, name3 string"
+    made = store.add_paths(spark.createDataFrame([("a", "b", "c"), ("a", "b", "d"), ("a", "b", "c")], paths))
+    assert [r[:2] for r in rows(made)] == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    store.load(store.tags().where("id < 4"))  # takes out the newest tag
+    made = store.add_paths(spark.createDataFrame([("a", "b", "c"), ("a", "b", "e")], paths))
+    assert [r[:2] + r[4:5] for r in rows(made)] == [(5, "e", 2)]
+    assert store.add_paths(spark.createDataFrame([("a", "b", "e")], paths)).count() == 0 and store.version() == 3
+    with pytest.raises(Exception, match="without its tag"):
+        store.load(store.tags(), spark.createDataFrame([(1, 77, "m", 1)], "id long, tag_id long, model_name string, state int"))
+    assert store.version() == 3
