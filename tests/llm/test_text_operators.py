@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import struct
 import tracemalloc
@@ -548,9 +549,60 @@ are met:"""
              (4, "prose\nReleased under the MIT License.\nprose", "en", "a"), (5, bsd.replace("\n", "\n\n"), "en", "a")]
     found = licences.find(frame(spark, texts), licences.fit(given)).where("confirmed").collect()
     assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 0, "gpl"), (2, 2, "bsd"), (3, 0, "bsd"), (4, 1, "mit")]
-    assert licences.breaks(frame(spark, ROWS[:3])).count() == 0
+    assert licences.blocks(frame(spark, ROWS[:3])).where("head is not null").count() == 0
+
+
+def shares(tokens, family=None):
+    """The largest share of a template's two-grams in the words, by the definition."""
+    own = set(zip(tokens, tokens[1:]))
+    parts = [set(zip(w, w[1:])) for name, texts in licences.TEMPLATES.items() if family in (None, name)
+             for w in map(licences._plain_words, texts)]
+    return max(len(p & own) / len(p) for p in parts)
+
+
+def every_line_and_line_end(text):
+    """``(paragraph, before, head, tail, words)`` of all lines and all line ends, without any selection."""
+    lines, span = [licences._plain_words(x) for x in text.split("\n")], licences.SPAN
+    for k, here in enumerate(lines):
+        if here:
+            yield k, None, None, None, here
+        if here and k + 1 < len(lines) and lines[k + 1]:
+            stop = next((j for j in range(k + 1, len(lines)) if not lines[j]), len(lines))
+            tail = [w for x in lines[k + 1:stop] for w in x][:span]
+            yield k, lines[k - 1][-span:] if k else [], here[-span:], tail, here[-span:] + tail
+
+
+def test_licences_against_every_line_and_line_end(spark, given):
+    """All lines and line ends go through the classifier and the template comparison in plain Python."""
+    rng = random.Random(5)
+    notices = [t for texts in licences.TEMPLATES.values() for t in texts]
+    prose = "the old river bank of the free software in this work under the terms and reserved rights all public house".split()
+    texts = []
+    for doc in range(150):
+        pieces = [" ".join(rng.choices(prose, k=rng.randrange(1, 12))) if rng.random() < 0.6 else rng.choice(notices)
+                  for _ in range(rng.randrange(1, 6))]
+        tokens = rng.choice([" ", "\n", " \n\n "]).join(pieces).split(" ")
+        texts.append((doc, "".join(t + rng.choice([" ", " ", " ", "\n"]) for t in tokens), "en", "a"))
+    model = licences.fit(given)
+    rows = [(doc, *row) for doc, text, _, _ in texts for row in every_line_and_line_end(text)]
+    all_rows = spark.createDataFrame([(r[0], k, r[5] + [f"{a} {b}" for a, b in zip(r[5], r[5][1:])]) for k, r in enumerate(rows)],
+                                     "doc_id long, row long, grams array<string>")
+    expected = Counter()
+    for r in model.classifier.transform(licences._features(all_rows)).select("row", "probability").collect():
+        doc, paragraph, before, head, tail, tokens = rows[r.row]
+        p = list(r.probability)
+        best = max(range(1, len(p)), key=lambda i: p[i])
+        family, likeness = licences.FAMILIES[best], shares(tokens, licences.FAMILIES[best])
+        if p[best] < model.threshold:
+            continue
+        if head is not None and (likeness < licences.CONFIRMED or likeness <= max(shares(head, family), shares(tail, family))
+                                 or likeness < shares(before + tokens, family)):
+            continue
+        expected[doc, paragraph, family, round(likeness, 9), likeness >= licences.CONFIRMED] += 1
+    found = Counter((r.doc_id, r.paragraph, r.family, round(r.likeness, 9), r.confirmed) for r in licences.find(frame(spark, texts), model).collect())
+    assert found == expected and len(expected) > 100 and any(k[4] for k in expected)
 
 
 def test_native_plans(spark, sf_dir, given):
-    for df in (QUERIES["op7_sharding"](spark, sf_dir), licences.paragraphs(given)):
+    for df in (QUERIES["op7_sharding"](spark, sf_dir), licences.paragraphs(given), licences.blocks(given)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
