@@ -29,8 +29,7 @@ def op1(spark, sf_dir):
 
 @query("op2_licences")
 def op2(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return licences.find(docs, licences.fit(docs))
+    return licences.search(table(spark, sf_dir, "documents"))
 
 
 @query("op3_context_tree")

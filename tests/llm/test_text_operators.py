@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from oracle import connect, difference
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tagloom.llm import components, ctw, fertility, licences, lshforest, packing, pfor, pii, sharding, tokens, toxicity, wumanber
@@ -603,6 +604,31 @@ def test_licences_against_every_line_and_line_end(spark, given):
     assert found == expected and len(expected) > 100 and any(k[4] for k in expected)
 
 
+def test_licences_learn_from_every_document(spark):
+    """Prose that looks like a notice is known as such wherever it stands in the table, not in the first ones by a hash only."""
+    prose, notice = "the house is licensed under old rules", "Released under the MIT License."
+    order = spark.range(1200).orderBy(F.xxhash64("id"), "id").collect()
+    texts = [(r.id, "a quiet river\nand a hill" if k < 400 else f"{prose}\na quiet river", "en", "a") for k, r in enumerate(order)]
+    given = frame(spark, [*texts, (1200, f"a hill\n{notice}", "en", "a")])
+    model = licences.fit(given)
+    rated = model.classifier.transform(licences._features(licences.paragraphs(frame(spark, [(1, prose, "en", "a")])))).first()
+    assert rated.probability[0] > 0.9
+    assert [(r.doc_id, r.paragraph, r.family, r.confirmed) for r in licences.find(given, model).collect()] == [(1200, 1, "mit", True)]
+
+
+def test_licences_count_every_paragraph(spark, given):
+    lines = [w for r in given.select("text").collect() for w in map(licences._plain_words, (r.text or "").split("\n")) if w]
+    openings = [" ".join(licences._plain_words(t)[:licences.OPENING]) for texts in licences.TEMPLATES.values() for t in texts]
+    plain = [w for w in lines if shares(w) < licences.CONFIRMED / 2 and not any(f" {o} " in f" {' '.join(w)} " for o in openings)]
+    rows = licences.searched(given)
+    assert rows.where("head is null").count() == len(lines)
+    counted = licences._counted(rows)
+    n = {bool(r.held): r.n for r in counted.groupBy((F.col("part") == 0).alias("held")).agg(F.sum("n").alias("n")).collect()}
+    assert sum(n.values()) == len(plain)
+    weights = {bool(r.named): r.weight for r in licences._examples(counted).groupBy((F.col("label") > 0).alias("named")).agg(F.sum("weight").alias("weight")).collect()}
+    assert weights == {False: n[False], True: n[False] + len(licences._variants())}
+
+
 def test_native_plans(spark, sf_dir, given):
     for df in (QUERIES["op7_sharding"](spark, sf_dir), licences.paragraphs(given), licences.blocks(given)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
