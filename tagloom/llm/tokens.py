@@ -3,7 +3,9 @@
 Both vocabularies cut a text into pre-tokens before they merge bytes, and both
 always cut it before a single space that is followed by a visible character.
 So a text is split there, pieces met before are looked up, and only new ones
-are encoded. The ids are those of the whole text encoded at once: a special
+are encoded. The word vocabulary drops all blanks, so its texts of the plain
+characters below are cut into their pre-tokens at once, and other texts line by
+line or by piece. The ids are those of the whole text encoded at once: a special
 token's string in a text is that token, and stands between two texts of its own.
 """
 
@@ -27,6 +29,12 @@ _CUT = re.compile(r"(?= \S)")
 # The contractions and classes both vocabularies split by, for the simple characters above.
 _SPACED_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 _BARE_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+# The same as the last for lower case, but all characters other than the simple ones go to the last class.
+_BARE_RUNS = re.compile(rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \n{LETTERS}0-9]+")
+
+
+class NotSimple(Exception):
+    """A pre-token has characters that only the whole library pipeline deals with."""
 
 
 class Generations(dict):
@@ -67,6 +75,7 @@ class TokenIds:
         self.lowers = self.tokenizer.normalizer is not None  # the word vocabulary: lower case, no spaces kept
         self.letters = byte_letters()
         self.pretokens = Generations(self._pretoken, limit)
+        self.runs = Generations(self._run, limit)
         self.pieces = Generations(self.piece, limit)
         self.spaced = Generations(lambda piece: self.piece(" " + piece), limit)
 
@@ -80,6 +89,11 @@ class TokenIds:
         ids = [t.id for t in self.model.tokenize(word if plain else word.encode().decode("latin-1").translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _run(self, run: str) -> bytes:
+        if not _SIMPLE.match(run):
+            raise NotSimple
+        return self._pretoken(run)
+
     def piece(self, piece: str) -> bytes:
         """Ids of a piece without blanks but for a first one."""
         found = _WORD.match(piece)
@@ -99,13 +113,21 @@ class TokenIds:
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
+        if self.lowers:
+            return self.bare(text)
         if _ODD_SPACE.search(text):
             return b"".join(map(self.pieces.__getitem__, _CUT.split(text)))
         first, *rest = text.split(" ")
-        if self.lowers:
-            return b"".join(map(self.pieces.__getitem__, [first, *rest]))
         return self.pieces[first] + b"".join(map(self.spaced.__getitem__, rest))
 
+    def bare(self, text: str) -> bytes:
+        """The same for the word vocabulary, where spaces and line ends only part pre-tokens."""
+        try:
+            return b"".join(map(self.runs.__getitem__, _BARE_RUNS.findall(text.lower())))
+        except NotSimple:
+            lines = text.split("\n")
+            return b"".join(map(self.bare, lines) if len(lines) > 1 else map(self.pieces.__getitem__, text.split(" ")))
+
 
 _ENCODERS: dict[str, TokenIds] = {}
 

@@ -61,6 +61,23 @@ def test_token_ids_are_the_librarys(name, given):
         assert encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
 
 
+def test_words_are_looked_up_without_what_stands_beside_them():
+    """Marks and line ends beside a word make no new entry, and odd characters leave the other lines on the short way."""
+    plain, encode = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), tokens.TokenIds("word_bpe_49k.json")
+    names = ["river", "Stone", "über", "don't", "a1b22"]
+    texts = [f"{a}{mark}{b}" for a in names for b in names for mark in (" ", ", ", "*** ", ".\n", "!\n\n", "&&& ")]
+    caches = [c for c in vars(encode).values() if isinstance(c, tokens.Generations)]
+    for text in texts:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+    distinct = {"river", "stone", "über", "don", "'t", "a", "1", "b", "2", ",", "***", ".", "!", "&&&"}
+    assert sum(map(len, caches)) == len(distinct)
+    odd = "river\u2014stone\nRiver, \u212aelvin e\u0301\r\n" + "\n".join(texts) + " \x85\x1c\u1e9e\u0178'S\u2019s"
+    ids = plain.encode(odd, add_special_tokens=False).ids
+    assert encode(odd) == struct.pack(f"<{len(ids)}I", *ids)
+    assert sum(map(len, caches)) < len(distinct) + 25
+
+
 @pytest.mark.parametrize("source", ["docs", "given"])
 def test_packing(request, source):
     table = request.getfixturevalue(source)
