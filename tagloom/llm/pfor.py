@@ -21,6 +21,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from tagloom.llm.tokens import END, token_ids
 from tagloom.session import materialised, scratch_path
 
 BLOCK = 512
+TOGETHER = 256  # blocks that are encoded at once
 WIDTH_SHARE = 0.95
 SHARD_IDS = 4_000_000  # a file is closed when it has that many ids
 MAGIC = b"PFORIDS1"
@@ -55,15 +57,37 @@ def pack_bits(values: np.ndarray, width: int) -> bytes:
     return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
 
 
+@lru_cache(maxsize=64)
+def _places(width: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The byte in which each value starts, and the bits before it in that byte."""
+    at = np.arange(count) * width
+    return at >> 3, (at & 7).astype(np.uint32)
+
+
 def unpack_bits(data: memoryview, width: int, count: int) -> np.ndarray:
     if width == 0:
         return np.zeros(count, np.uint32)
     if width in (8, 16, 32):
         return np.frombuffer(data, f"<u{width // 8}", count).astype(np.uint32)
+    if width <= 25:  # with the bits before it in its first byte, a value lies within four bytes
+        first, shift = _places(width, count)
+        size = packed_bytes(width, count)
+        words = np.ndarray(size, "<u4", bytes(data[:size]) + bytes(3), strides=(1,))
+        return (words[first] >> shift) & np.uint32((1 << width) - 1)
     bits = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little").reshape(count, width)
     return bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
 
 
+def pack_rows(rows: np.ndarray, width: int) -> list[bytes]:
+    """``pack_bits`` of each row."""
+    if width in (0, 8, 16, 32):
+        return [pack_bits(row, width) for row in rows]
+    bits = np.empty((*rows.shape, width), np.uint8)
+    for k in range(width):
+        bits[:, :, k] = (rows >> np.uint32(k)) & 1
+    return [row.tobytes() for row in np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")]
+
+
 def packed_bytes(width: int, count: int) -> int:
     return (width * count + 7) // 8
 
@@ -80,6 +104,35 @@ def encode_block(ids: np.ndarray, share: float = WIDTH_SHARE) -> bytes:
                      offsets[over].astype("<u4").tobytes()])
 
 
+def encode_blocks(ids: np.ndarray, block: int, share: float = WIDTH_SHARE) -> list[bytes]:
+    """``encode_block`` of each ``block`` ids; whole blocks are dealt with ``TOGETHER`` at a time, those of one width at once."""
+    whole = len(ids) // block
+    done = []
+    for first in range(0, whole, TOGETHER):
+        grid = ids[first * block:min(first + TOGETHER, whole) * block].reshape(-1, block)
+        low = grid.min(axis=1)
+        offsets = grid - low[:, None]
+        rank = max(0, int(np.ceil(share * block)) - 1)
+        width = np.frexp(np.partition(offsets, rank, axis=1)[:, rank].astype(np.float64))[1]
+        limit = np.uint64(1) << width.astype(np.uint64)
+        row, position = np.nonzero(offsets >= limit[:, None])
+        values, position = offsets[row, position].astype("<u4"), position.astype("<u2")
+        ends = np.searchsorted(row, np.arange(len(grid) + 1)).tolist()
+        kept = offsets.copy()
+        kept[row, position] = 0
+        packed = [b""] * len(grid)
+        for w in np.unique(width).tolist():
+            rows = np.flatnonzero(width == w)
+            for k, data in zip(rows.tolist(), pack_rows(kept[rows], w)):
+                packed[k] = data
+        for k, (lowest, w) in enumerate(zip(low.tolist(), width.tolist())):
+            a, b = ends[k], ends[k + 1]
+            done.append(b"".join([_BLOCK_HEAD.pack(lowest, w, b - a), packed[k], position[a:b].tobytes(), values[a:b].tobytes()]))
+    if whole * block < len(ids):
+        done.append(encode_block(ids[whole * block:], share))
+    return done
+
+
 def decode_block(data: memoryview, count: int) -> np.ndarray:
     low, width, n_over = _BLOCK_HEAD.unpack_from(data)
     at = _BLOCK_HEAD.size
@@ -94,7 +147,7 @@ def decode_block(data: memoryview, count: int) -> np.ndarray:
 def encode_shard(doc_ids: list[int | None], pieces: list[bytes], block: int = BLOCK, share: float = WIDTH_SHARE) -> bytes:
     """A whole file: ``pieces`` are the ids of the documents as little-endian unsigned 32-bit integers."""
     ids = np.frombuffer(b"".join(pieces), "<u4")
-    blocks = [encode_block(ids[i:i + block], share) for i in range(0, len(ids), block)]
+    blocks = encode_blocks(ids, block, share)
     tables = [np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is None for d in doc_ids),
               np.array([len(p) // 4 for p in pieces], "<u8").tobytes()]
     first = _HEADER.size + 8 * len(blocks) + sum(map(len, tables))

@@ -133,6 +133,15 @@ def test_random_blocks_survive():
         assert (pfor.decode_block(memoryview(pfor.encode_block(ids)), len(ids)) == ids).all()
 
 
+def test_blocks_encoded_together_are_those_encoded_alone():
+    rng = np.random.default_rng(6)
+    for count in (0, 5, 128, 128 * pfor.TOGETHER, 128 * (pfor.TOGETHER + 3) + 77):
+        ids = (rng.integers(0, 1 << 32, count, dtype=np.uint64) >> rng.integers(0, 33, count, dtype=np.uint64).repeat(128)[:count]).astype("<u4")
+        for share in (0.5, 0.95, 1.0):
+            assert pfor.encode_blocks(ids, 128, share) == [pfor.encode_block(ids[i:i + 128], share) for i in range(0, count, 128)]
+        assert (pfor.Shard(pfor.encode_shard([1], [ids.tobytes()], 128)).ids() == ids).all()
+
+
 def test_id_files(spark, docs, given):
     for table in (docs, given, docs.limit(0)):
         encode = tokens.token_ids("word_bpe_49k.json")
