@@ -90,6 +90,21 @@ def test_many_bands(spark, tight, monkeypatch, broadcast_rows):
     assert Counter((r["v"], r["tagsId"]) for r in found.collect()) == brute_force(values, bands)
 
 
+@pytest.mark.parametrize("values", [range(300), [7] * 100 + list(range(50))], ids=["even", "hot"])
+def test_many_cells_are_never_broadcast(spark, tight, tmp_path, values):
+    """Beyond the bound all sides are shuffled, though Spark takes the cells for as few as the bands in the file."""
+    bands = [(i, i, i + 20) for i in range(150)]
+    spark.createDataFrame(bands, "tagsId long, start long, end long").write.parquet(str(tmp_path / "bands"))
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    found = match_range(df, "v", spark.read.parquet(str(tmp_path / "bands")))
+    assert Counter((r["v"], r["tagsId"]) for r in found.collect()) == brute_force(values, bands)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert bool(joins.hot_keys(df, "v")) == (values[0] == 7)
+    # The list of hot keys, a row per key, is the only thing that may be broadcast.
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("BroadcastHashJoin") == (2 if values[0] == 7 else 0)
+
+
 def test_few_bands_give_the_same(spark):
     bands = [(1, 0, 10), (2, 5, 20), (3, 30, 40)]
     values = [-1, 0, 5, 10, 20, 25, 30, 40, 41, None]
