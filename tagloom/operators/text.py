@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Tokenizer, Word2Vec
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Tokenizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.texts import tokens
+from tagloom.operators.embedding import document_means, word_hashes
 from tagloom.operators.joins import lookup_join
 from tagloom.operators.ordering import number_rows
 from tagloom.session import materialised, spread
@@ -87,8 +89,12 @@ def word_vectors(df: DataFrame, tokens_column: str, size: int = 3, min_count: in
                  output: str = "vector", partitions: int = 8, sentence_length: int = 1000) -> DataFrame:
     """Mean word embedding of each document; texts beyond ``sentence_length`` words are trained in pieces of that length.
 
-    The number of training partitions is part of the model, so it is a parameter and not a cluster setting.
+    The number of training partitions is part of the model, so it is a parameter and not a cluster setting; there are more
+    of them when one would hold more than ``embedding.PART_WORDS`` words. A text without words, or null, has the mean zero.
     """
-    model = Word2Vec(inputCol=tokens_column, outputCol=output, vectorSize=size, minCount=min_count, seed=seed,
-                     numPartitions=partitions, maxSentenceLength=sentence_length).fit(spread(df))
-    return model.transform(df)
+    means = document_means(df, tokens_column, size, min_count, seed, partitions, sentence_length)
+    keyed = df.withColumn("_doc", F.xxhash64(word_hashes(F.col(tokens_column))))
+    found = lookup_join(keyed, means.withColumnsRenamed({"doc": "_key", "mean": "_mean"}), "_doc", "_key", "left")
+    zero = F.array(*[F.lit(0.0)] * size)
+    vector = F.when(F.size(tokens_column) > 0, F.col("_mean")).otherwise(zero)
+    return found.withColumn(output, array_to_vector(vector)).drop("_doc", "_mean")

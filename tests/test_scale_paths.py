@@ -1,14 +1,18 @@
 """The ways taken for large or skewed data give the same rows as the plain ones."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.operators import aggregates, joins, match, ordering, recommend, rules, text
+from tagloom.operators import aggregates, embedding, joins, match, ordering, recommend, rules, text
 from tagloom.operators.match import band_cells, match_exact, match_range
 
 
@@ -165,6 +169,72 @@ def test_text_with_large_vocabulary_path(spark, tight):
     assert index["the"] == 0 and sorted(index.values()) == list(range(len(index)))
 
 
+def test_huffman_runs_equal_the_plain_tree():
+    generator = random.Random(9)
+    for n in [1, 2, 3, *(generator.randint(4, 60) for _ in range(100))]:
+        weights = sorted(int(1 / generator.random()) for _ in range(n))
+        # The plain way of two queues; of equal weights the inner node goes first.
+        known, parents, codes, leaf, inner = list(weights), {}, {}, 0, n
+        for made in range(n, 2 * n - 1):
+            for code in (0, 1):
+                if leaf < n and (inner >= made or known[leaf] < known[inner]):
+                    at, leaf = leaf, leaf + 1
+                else:
+                    at, inner = inner, inner + 1
+                parents[at], codes[at] = made, code
+            known.append(sum(known[x] for x, p in parents.items() if p == made))
+        tree = embedding.HuffmanRuns(sorted(Counter(weights).items()))
+        first, node, code, nodes = tree.paths(np.arange(n))
+        assert nodes == n - 1
+        for i in range(n):
+            path, at = [], i
+            while at in parents:
+                path.append((parents[at] - n, codes[at]))
+                at = parents[at]
+            assert list(zip(node[first[i]:first[i + 1]].tolist(), code[first[i]:first[i + 1]].tolist())) == path
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_word_vectors_tell_topics_apart(spark, monkeypatch, partitions):
+    monkeypatch.setattr(embedding, "PIECE_WORDS", 500)
+    generator = random.Random(4)
+    docs = [(i, [f"{'ab'[i % 2]}{min(int(generator.expovariate(0.15)), 29)}" for _ in range(30)]) for i in range(1200)]
+    docs += [(1200, []), (1201, None), *((1202 + i, docs[i][1]) for i in range(4))]
+    df = spark.createDataFrame(docs, "i int, w array<string>").repartition(3)
+    found = {r["i"]: r["vector"].toArray() for r in text.word_vectors(df, "w", 4, partitions=partitions).collect()}
+    assert len(found) == len(docs)
+    assert not found[1200].any() and not found[1201].any() and all((found[1202 + i] == found[i]).all() for i in range(4))
+    vectors = np.array([found[i] for i in range(1200)])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    alike = vectors @ vectors.T
+    same = np.arange(1200)[:, None] % 2 == np.arange(1200) % 2
+    assert alike[same].mean() > 0.95 and alike[~same].mean() < 0
+
+
+def test_word_vectors_leave_rare_words_out(spark):
+    df = spark.createDataFrame([(["x", "y"] * 8 + ["rare"] * 16,), (["rare2"],)], "w array<string>")
+    found = {len(r["w"]): r["vector"].toArray() for r in text.word_vectors(df, "w", min_count=2, partitions=1).collect()}
+    assert not found[1].any() and found[32].any()
+    plain = spark.createDataFrame([(["x", "y"] * 8,)], "w array<string>")
+    assert text.word_vectors(plain, "w", min_count=99).first()["vector"].toArray().tolist() == [0, 0, 0]
+
+
+def test_word_vectors_keep_the_vocabulary_off_the_driver(tmp_path):
+    """100,000 different words, of which the driver may be sent 2 MB in all."""
+    (tmp_path / "run.py").write_text("""
+from pyspark.sql import SparkSession, functions as F
+from tagloom.operators import text
+
+spark = (SparkSession.builder.master("local[2]").config("spark.driver.maxResultSize", "2m").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+words = F.transform(F.sequence(F.col("id") * 50, F.col("id") * 50 + 49), lambda x: F.concat(F.lit("w"), x))
+print("rows", text.word_vectors(spark.range(2000).select(words.alias("w")), "w").count())
+""")
+    env = os.environ | {"PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    done = subprocess.run([sys.executable, "run.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 2000" in done.stdout, done.stderr[-2000:]
+
+
 def test_tag_paths(spark, tight):
     empty = spark.createDataFrame([], "id long, name string, rule string, level int, pid long")
     first = rules.upsert_paths(empty, spark.createDataFrame([("a", "b", "c")], "name1 string, name2 string, name3 string"))
