@@ -93,8 +93,8 @@ def word_vectors(df: DataFrame, tokens_column: str, size: int = 3, min_count: in
     of them when one would hold more than ``embedding.PART_WORDS`` words. A text without words, or null, has the mean zero.
     """
     means = document_means(df, tokens_column, size, min_count, seed, partitions, sentence_length)
-    keyed = df.withColumn("_doc", F.xxhash64(word_hashes(F.col(tokens_column))))
+    # Null without words, so that only the key and not the words has to meet the means.
+    keyed = df.withColumn("_doc", F.when(F.size(tokens_column) > 0, F.xxhash64(word_hashes(F.col(tokens_column)))))
     found = lookup_join(keyed, means.withColumnsRenamed({"doc": "_key", "mean": "_mean"}), "_doc", "_key", "left")
-    zero = F.array(*[F.lit(0.0)] * size)
-    vector = F.when(F.size(tokens_column) > 0, F.col("_mean")).otherwise(zero)
+    vector = F.when(F.col("_doc").isNotNull(), F.col("_mean")).otherwise(F.array(*[F.lit(0.0)] * size))
     return found.withColumn(output, array_to_vector(vector)).drop("_doc", "_mean")

@@ -211,6 +211,16 @@ def test_word_vectors_tell_topics_apart(spark, monkeypatch, partitions):
     assert alike[same].mean() > 0.95 and alike[~same].mean() < 0
 
 
+def test_word_vectors_beyond_the_broadcast_bound(spark, tight):
+    docs = [(i, [f"w{i % 9}", f"w{i % 7}", f"x{i % 11}"]) for i in range(90)] + [(90, []), (91, None)]
+    df = spark.createDataFrame(docs, "i int, w array<string>")
+    found = text.word_vectors(df, "w", partitions=2).select("i", "vector")
+    assert sorted(r["i"] for r in found.collect()) == list(range(92))
+    assert {r["i"] for r in found.collect() if not r["vector"].toArray().any()} == {90, 91}
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+    assert ", w#" not in below.split("Project [", 1)[1].split("]", 1)[0]  # the words do not go through the join
+
+
 def test_word_vectors_leave_rare_words_out(spark):
     df = spark.createDataFrame([(["x", "y"] * 8 + ["rare"] * 16,), (["rare2"],)], "w array<string>")
     found = {len(r["w"]): r["vector"].toArray() for r in text.word_vectors(df, "w", min_count=2, partitions=1).collect()}
