@@ -94,12 +94,12 @@ def test_many_bands(spark, tight, monkeypatch, broadcast_rows):
     assert Counter((r["v"], r["tagsId"]) for r in found.collect()) == brute_force(values, bands)
 
 
-@pytest.mark.parametrize("values", [range(300), [7] * 100 + list(range(50))], ids=["even", "hot"])
+@pytest.mark.parametrize("values", [range(300), [7] * 100 + list(range(50)), [i / 2 for i in range(300)]], ids=["even", "hot", "halves"])
 def test_many_cells_are_never_broadcast(spark, tight, tmp_path, values):
     """Beyond the bound all sides are shuffled, though Spark takes the cells for as few as the bands in the file."""
     bands = [(i, i, i + 20) for i in range(150)]
     spark.createDataFrame(bands, "tagsId long, start long, end long").write.parquet(str(tmp_path / "bands"))
-    df = spark.createDataFrame([(v,) for v in values], "v long")
+    df = spark.createDataFrame([(v,) for v in values], "v double" if isinstance(values[1], float) else "v long")
     found = match_range(df, "v", spark.read.parquet(str(tmp_path / "bands")))
     assert Counter((r["v"], r["tagsId"]) for r in found.collect()) == brute_force(values, bands)
     plan = found._jdf.queryExecution().sparkPlan().toString()
